@@ -37,7 +37,8 @@ def heavy_digests(rows: DataFrame, max_heavy: int = MAX_HEAVY, min_heavy: int =
     spark = rows.sparkSession
     items = rows.select(F.xxhash64("digest").alias("item"), F.expr("spark_partition_id() div 32").alias("node"))
     sketch = items.groupBy("node").agg(F.expr(f"approx_top_k_accumulate(item, {TRACKED}) AS part"))
-    top = sketch.agg(F.expr(f"approx_top_k_estimate(approx_top_k_combine(part, {TRACKED}), {max_heavy}) AS top")).head()
+    # a key, though there is one group: Spark's combiner can't take a partition without rows
+    top = sketch.groupBy(F.expr("node < 0").alias("all")).agg(F.expr(f"approx_top_k_estimate(approx_top_k_combine(part, {TRACKED}), {max_heavy}) AS top")).head()
     found = [x["item"] for x in (top["top"] if top and top["top"] else []) if x["count"] >= min_heavy]
     if not found:
         return rows.limit(0).groupBy("digest").agg(F.max(F.struct("id", "rid")).alias("winner"), F.count("*").alias("group_size"))
