@@ -4,16 +4,29 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .bpe import encode_documents
 from .common import table
 from .exact_dedup import exact_groups
 
 
+def tokenizer_path(name: str) -> str:
+    """Where a public tokenizer file lies on this machine and on every executor."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
 QUERIES = {
     "op7_exact_dedup": op7_exact_dedup,
+    "op10_bpe": op10_bpe,
 }
 
 ORACLES = {
