@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from .bpe import encode_documents
 from .common import table
 from .exact_dedup import exact_groups
+from .simhash import near_groups
+from .url_filter import judge_urls
 
 
 def tokenizer_path(name: str) -> str:
@@ -24,12 +26,48 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+#: Rules of op4: verdict, host, path.
+URL_RULES = [
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+]
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "verdict string, host string, path string")
+    return judge_urls(table(spark, sf_dir, "pages"), rules)
+
+
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_groups(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op7_exact_dedup": op7_exact_dedup,
+    "op9_simhash": op9_simhash,
     "op10_bpe": op10_bpe,
+    "op4_url_filter": op4_url_filter,
 }
 
+_RULES_SQL = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in URL_RULES)
+
 ORACLES = {
+    "op4_url_filter": f"""
+        WITH r(verdict, rhost, rpath) AS (VALUES {_RULES_SQL}),
+        u AS (
+          SELECT page_id, url, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+          FROM pages),
+        p AS (
+          SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                 regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+          FROM u)
+        SELECT page_id, host, path, max_by(rhost || rpath, length(rhost || rpath)) AS rule,
+               coalesce(max_by(r.verdict, length(rhost || rpath)), 'allow') AS verdict
+        FROM p LEFT JOIN r ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)
+        GROUP BY ALL""",
     "op7_exact_dedup": """
         WITH t AS (
           SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256
