@@ -12,8 +12,8 @@
 4. The windows found by 2 and 3 are united per document and cut out.
 
 Triggers with a great many occurrences (found by a frequent-items sketch, at most `MAX_HEAVY`) take
-another exact way that never gathers them: counts by phrase, then counts by window hash, aggregated
-before each shuffle. All other groups are bounded by the sketch's guarantee.
+another exact way that never gathers them: counts by phrase, by groups of neighbouring windows and, for
+what is left, by window, aggregated before each shuffle. All other groups are bounded by the sketch's guarantee.
 """
 
 from __future__ import annotations
@@ -37,6 +37,8 @@ TRIGGER = 32
 BLOCK = 1 << 22
 #: Counters of the sketch, triggers that take the way for heavy ones, and rows that make one heavy.
 TRACKED, MAX_HEAVY, MIN_HEAVY = 4096, 1024, 256
+#: Neighbouring windows of a heavy trigger's phrase that go together.
+STEP = 8
 #: Windows that are sorted at once, about.
 SORTED = 60_000
 #: A phrase's place: start << 20 | number of windows << 10 | offset of the trigger. Both are below 1024.
@@ -191,25 +193,76 @@ def _sorted_windows(phrases: DataFrame, window: int) -> DataFrame:
     return phrases.mapInArrow(run, f"id {kind}, h long, start long, stop long")
 
 
-def _hashed_windows(phrases: DataFrame, window: int) -> DataFrame:
-    """id, h, at, copies, w1, w2 (a 128-bit hash) of each window of each phrase."""
+def _groups_of_windows(phrases: DataFrame, window: int) -> DataFrame:
+    """For each phrase, a row per `STEP` neighbouring windows (by offset from the trigger): id, h, at (the
+    first window's start), n, copies, bytes (all that the windows cover), c1 and c2 (a hash of what
+    every window of the place covers) and u (a hash of the bytes and of the place)."""
     kind = phrases.schema["id"].dataType.simpleString()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(0, batch.num_rows, 1000):
-                part = batch.slice(i, 1000)
+                part, own, rows, core, whole = batch.slice(i, 1000), [], [], [], []
                 place = part.column("place").to_numpy(zero_copy_only=False)
-                count = place >> FIELD & 1023
-                own = np.repeat(np.arange(len(count)), count)
-                within = np.arange(len(own)) - np.concatenate([[0], count.cumsum()])[own]
-                digest = xxhash.xxh3_128_digest
-                raw = b"".join([digest(text[k : k + window]) for text, n in zip(part.column("bytes").to_pylist(), count.tolist(), strict=True) for k in range(n)])
-                w = np.frombuffer(raw, np.int64).reshape(-1, 2)
-                take = pa.array(own)
-                yield pa.RecordBatch.from_arrays([*(part.column(c).take(take) for c in ("id", "h")), pa.array((place >> 2 * FIELD)[own] + within), part.column("copies").take(take), pa.array(w[:, 0]), pa.array(w[:, 1])], ["id", "h", "at", "copies", "w1", "w2"])
+                for k, (p, trig, copies, raw) in enumerate(zip(place.tolist(), part.column("trig").to_pylist(), part.column("copies").to_pylist(), part.column("bytes").to_pylist(), strict=True)):
+                    start, count, offset = p >> 2 * FIELD, p >> FIELD & 1023, p & 1023
+                    first = 0
+                    while first < count:
+                        # windows first .. last have offsets from the trigger with one quotient by STEP
+                        group = (offset - first) // STEP
+                        last = min(count - 1, offset - group * STEP)
+                        shared = offset - group * STEP  # the last window of the place starts here in the phrase, owned or not
+                        span, seed = raw[first : last + window], (trig ^ group * 0x9E3779B97F4A7C15) & (1 << 64) - 1
+                        core.append(xxhash.xxh3_128_digest(raw[shared : shared - STEP + 1 + window], seed))
+                        whole.append(xxhash.xxh3_64_intdigest(span, (offset - first) << 16 | offset - last))
+                        own.append(k)
+                        rows.append((start + first, last - first + 1, copies, span))
+                        first = last + 1
+                c = np.frombuffer(b"".join(core), np.int64).reshape(-1, 2)
+                take = pa.array(own, pa.int64())
+                columns = list(zip(*rows, strict=True)) or [()] * 4
+                yield pa.RecordBatch.from_arrays([*(part.column(x).take(take) for x in ("id", "h")), *(pa.array(x, pa.int64()) for x in columns[:3]), pa.array(columns[3], pa.binary()), pa.array(c[:, 0]), pa.array(c[:, 1]), pa.array(np.array(whole, np.uint64).view(np.int64))], ["id", "h", "at", "n", "copies", "bytes", "c1", "c2", "u"])
+
+    return phrases.select("id", "h", "place", "trig", "copies", "bytes").mapInArrow(run, f"id {kind}, h long, at long, n long, copies long, bytes binary, c1 long, c2 long, u long")
+
+
+def _single_windows(groups: DataFrame, window: int) -> DataFrame:
+    """id, h, at, alone, w1, w2 (a 128-bit hash) of each window of (id, h, at, bytes, alone)."""
+    kind = groups.schema["id"].dataType.simpleString()
 
-    return phrases.select("id", "h", "place", "copies", "bytes").mapInArrow(run, f"id {kind}, h long, at long, copies long, w1 long, w2 long")
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own, at, raw = [], [], []
+            for i, (start, text) in enumerate(zip(batch.column("at").to_pylist(), batch.column("bytes").to_pylist(), strict=True)):
+                for k in range(len(text) - window + 1):
+                    own.append(i)
+                    at.append(start + k)
+                    raw.append(xxhash.xxh3_128_digest(text[k : k + window]))
+            w, take = np.frombuffer(b"".join(raw), np.int64).reshape(-1, 2), pa.array(own, pa.int64())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(take) for c in ("id", "h")), pa.array(at, pa.int64()), batch.column("alone").take(take), pa.array(w[:, 0]), pa.array(w[:, 1])], ["id", "h", "at", "alone", "w1", "w2"])
+
+    return groups.select("id", "h", "at", "bytes", "alone").mapInArrow(run, f"id {kind}, h long, at long, alone boolean, w1 long, w2 long")
+
+
+def _heavy_spans(phrases: DataFrame, window: int) -> list[DataFrame]:
+    """Spans of repeated windows among phrases of heavy triggers, never gathered by trigger.
+
+    Windows with neighbouring offsets from the trigger go together. If all that a group covers occurs
+    twice, so do its windows; if not even what they have in common does, none can. Only what is left,
+    where a repeat begins or ends, is taken apart into windows.
+    """
+    groups = written(_groups_of_windows(phrases, window), "groups")
+    one = F.struct("id", "h", "at", "n", "copies", "bytes")
+    distinct = written(groups.groupBy("c1", "c2", "u").agg(F.count("*").alias("times"), F.min_by(one, F.struct("at", "h")).alias("one")), "distinct")
+    often = written(distinct.filter("times > 1").select("c1", "c2", "u"), "often")
+    all_of = groups.filter("copies = 1").join(often, ["c1", "c2", "u"], "left_semi")
+    spans = [all_of.select("id", "h", F.col("at").alias("start"), (F.col("at") + F.col("n") - 1 + window).alias("stop"))]
+    mixed = written(distinct.groupBy("c1", "c2").agg(F.count("*").alias("n")).filter("n > 1").select("c1", "c2"), "mixed")
+    apart = distinct.join(mixed, ["c1", "c2"], "left_semi").select("one.id", "one.h", "one.at", "one.bytes", ((F.col("times") == 1) & (F.col("one.copies") == 1)).alias("alone"))
+    windows = written(_single_windows(apart, window), "windows")
+    twice = written(windows.groupBy("w1", "w2").agg(F.count("*").alias("n")).filter("n > 1").select("w1", "w2"), "twice")
+    spans.append(windows.filter("alone").join(twice, ["w1", "w2"], "left_semi").select("id", "h", F.col("at").alias("start"), (F.col("at") + window).alias("stop")))
+    return spans
 
 
 def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
@@ -253,9 +306,7 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     few = fetched.join(F.broadcast(chosen), "trig", "left_anti") if heavy else fetched
     spans.append(_sorted_windows(few.repartition("trig").sortWithinPartitions("trig"), window))
     if heavy:
-        windows = written(_hashed_windows(fetched.join(F.broadcast(chosen), "trig", "left_semi"), window), "windows")
-        twice = written(windows.groupBy("w1", "w2").agg(F.count("*").alias("n")).filter("n > 1").select("w1", "w2"), "twice")
-        spans.append(windows.filter("copies = 1").join(twice, ["w1", "w2"], "left_semi").select("id", "h", F.col("at").alias("start"), (F.col("at") + window).alias("stop")))
+        spans += _heavy_spans(fetched.join(F.broadcast(chosen), "trig", "left_semi"), window)
     out = spans[0]
     for more in spans[1:]:
         out = out.unionByName(more)
