@@ -4,8 +4,9 @@ import random
 import zlib
 
 import numpy as np
+from pyspark.sql import functions as F
 
-from tidebook.llm.lang_id import ROW, CrossParser, identify, keep_known, learn, suffix_automaton
+from tidebook.llm.lang_id import ROW, CrossParser, _folded, identify, keep_known, learn, suffix_automaton
 
 DATA = "/root/testdata/sf0.01/documents.parquet"
 
@@ -40,9 +41,9 @@ def test_phrases_are_longest_matches():
     text = lambda n, a: bytes(rnd.choice(a) for _ in range(n))
     samples = {"x": text(400, b"abcd "), "y": text(300, b"cdef ")}
     parser = CrossParser(samples)
+    samples = {k: _folded(v) for k, v in samples.items()}
     texts = [text(n, b"abcdef ") for n in (1, 2, 50, ROW, ROW + 1, 3 * ROW + 7)]
     want = [[slow_phrases(t, samples[lang]) for lang in parser.langs] for t in texts]
-    # a phrase that ends with its row is counted once more by neither
     assert np.array_equal(parser.phrases(texts), np.array(want))
 
 
@@ -66,6 +67,6 @@ def test_odd_rows(spark):
     got = [tuple(r)[2] for r in sorted(identify(df).collect(), key=lambda r: (r["doc_id"] is None, r["doc_id"]))][40:]
     assert got == ["und", "und", "und", "de", "de", "en"]
     assert identify(df.limit(0)).count() == 0
-    assert {r["lang_pred"] for r in identify(df.withColumn("lang", df.lang.substr(9, 1).cast("int").cast("string"))).collect()} == {"und"}
+    assert {r["lang_pred"] for r in identify(df.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
     kept = keep_known(df, learn(df))
     assert kept.columns == df.columns and kept.count() == 43

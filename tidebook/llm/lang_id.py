@@ -82,16 +82,16 @@ class CrossParser:
     def _table(self, text: bytes) -> np.ndarray:
         """By state and symbol: the next state's row << 1, plus 1 if a phrase ends before the symbol."""
         go, width = suffix_automaton(text), self.width
-        root = np.zeros(width, np.int64)  # what the sample lacks: a phrase of its own
-        table = np.empty((len(go), width), np.int32)
+        lost = len(go)  # behind a symbol that the sample lacks, which is a phrase of its own
+        root = np.full(width, lost, np.int64)
         for c, to in go[0].items():
             root[c] = to
+        table = np.empty((lost + 1, width), np.int32)
         table[:] = (root * width << 1 | 1)[None, :]
         for state, after in enumerate(go):
             if after:
                 table[state, list(after)] = np.array([*after.values()], np.int64) * width << 1
-        lacking = [c for c in range(width) if c not in go[0]]
-        table[0, lacking] = 1
+        table[0] = root * width << 1  # the first phrase is counted already
         return table.ravel()
 
     def phrases(self, texts: list[bytes]) -> np.ndarray:
@@ -133,11 +133,11 @@ class CrossParser:
 
 
 def _folded(text: bytes) -> bytes:
-    """A-Z lower-cased and white space as spaces."""
-    return text.lower().translate(_TO_SPACE)
+    """The words: A-Z lower-cased, other ASCII bytes than letters as single spaces."""
+    return b" ".join(text.lower().translate(_TO_SPACE).split())
 
 
-_TO_SPACE = bytes(32 if b in (9, 10, 11, 12, 13) else b for b in range(256))
+_TO_SPACE = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
 _built: dict[int, CrossParser] = {}
 
 

@@ -117,9 +117,9 @@ ORACLES = {
         FROM t WINDOW w AS (PARTITION BY text_sha256)""",
     "op2_topk": """
         WITH v AS (
-          SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS vec FROM embeddings
+          SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS vec FROM embeddings
           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-            AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
         s AS (
           SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.vec, c.vec)::BIGINT AS score
           FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
