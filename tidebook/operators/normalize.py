@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.coerce import as_bool, as_double, as_long, as_text, at, canonical_json, first_present, first_truthy, is_present, is_truthy
+from ..functions.coerce import as_bool, as_double, as_long, as_text, at, canonical_json, first_present, first_truthy, is_truthy
 from ..sources.archives import parsed, read_lines
 
 MARKET_RECORDS = ("rewarded_market_discovery", "rewarded_market_universe")
@@ -37,6 +38,14 @@ def running_totals(rows: DataFrame, keys: list[str], count: str, buckets: int =
     return out.withColumn("before", F.col("__start") + F.col("__own")).drop("__range", "__own", "__start")
 
 
+def staged(rows: DataFrame, plain: list, values: dict[str, tuple[Column, Callable[[Column], Column]]], order: list[str] | None = None) -> DataFrame:
+    """Looks the values up in one projection and coerces them in the next, so that an expression that a
+    coercion uses several times is planned and run once."""
+    first = rows.select(*plain, *[v.alias(f"__{name}") for name, (v, _) in values.items()])
+    kept = [c for c in first.columns if not c.startswith("__")]
+    return first.select(*kept, *[f(F.col(f"__{name}")).alias(name) for name, (_, f) in values.items()]).select(*(order or [*kept, *values]))
+
+
 def _object(value: Column) -> Column:
     return F.coalesce(F.startswith(F.schema_of_variant(value), F.lit("OBJECT")), F.lit(False))
 
@@ -114,6 +123,13 @@ def with_sequence(rows: DataFrame, start: int = 0) -> DataFrame:
     return rows.join(lines, ["source_file", "source_line"]).withColumn("sequence", F.lit(start) + F.col("before") + place).drop("before")
 
 
+EVENT_COLUMNS = (
+    "sequence source_file source_line record_type data_source event_type received_at_ns received_monotonic_ns subscription_revision frame_index frame_message_count connection_id control_event checkpoint_id "
+    "exchange_timestamp_ms capture_latency_ms market asset_id change_index change_count side price size best_bid best_ask spread tick_size last_trade_price fee_rate_bps transaction_hash book_hash symbol "
+    "reference_value game_id slug status score period elapsed live ended payload_json"
+).split()
+
+
 def events(rows: DataFrame) -> DataFrame:
     """The events table, from `routed` rows with their sequence."""
     record, payload, change = F.col("record"), F.col("payload"), F.col("route") == "change"
@@ -121,44 +137,32 @@ def events(rows: DataFrame) -> DataFrame:
     # fields of a change come from it, but market and timestamp from the frame
     field = lambda name: F.when(change, at(F.col("item"), f"$.{name}")).otherwise(at(payload, f"$.{name}"))
     framed = lambda name: at(payload, f"$.{name}")
-    stamp = as_long(first_present(framed("timestamp"), F.when(~change, at(nested, "$.timestamp"))))
-    received = as_long(at(record, "$.received_at_ns"))
-    double = lambda *names: as_double(first_truthy(*map(field, names)) if len(names) > 1 else field(names[0]))
-    text = lambda *names: as_text(first_present(*map(field, names)) if len(names) > 1 else field(names[0]))
     own = F.try_variant_get("item", "$", "map<string,variant>")
     laid = F.map_filter(F.create_map(*[x for n in ("event_type", "market", "timestamp") for x in (F.lit(n), framed(n))]), lambda _, v: v.isNotNull())
     merged = F.map_concat(F.map_filter(own, lambda k, _: ~F.array_contains(F.map_keys(laid), k)), laid)
     merged = F.map_from_entries(F.transform(F.array_sort(F.map_keys(merged)), lambda k: F.struct(k, merged[k])))
-    return rows.select(
-        "sequence",
-        "source_file",
-        "source_line",
-        F.coalesce("record_type", F.lit("")).alias("record_type"),
-        F.coalesce("record_type", F.lit("")).alias("data_source"),
-        "event_type",
-        *[as_long(at(record, f"$.{c}")).alias(c) for c in ENVELOPE_LONGS],
-        *[as_long(at(record, f"$.{c}")).cast("int").alias(c) for c in ENVELOPE_INTS],
-        *[as_text(at(record, f"$.{c}")).alias(c) for c in ("connection_id", "control_event", "checkpoint_id")],
-        stamp.alias("exchange_timestamp_ms"),
-        (received / 1e6 - stamp).alias("capture_latency_ms"),
-        as_text(first_truthy(framed("market"), field("condition_id"), field("slug"))).alias("market"),
-        "asset_id",
-        "change_index",
-        "change_count",
-        F.upper(text("side")).alias("side"),
-        *[double(c).alias(c) for c in ("price", "size", "best_bid", "best_ask", "spread")],
-        double("tick_size", "new_tick_size", "order_price_min_tick_size").alias("tick_size"),
-        double("last_trade_price").alias("last_trade_price"),
-        as_long(field("fee_rate_bps")).cast("int").alias("fee_rate_bps"),
-        text("transaction_hash").alias("transaction_hash"),
-        text("hash").alias("book_hash"),
-        as_text(first_present(field("symbol"), at(nested, "$.symbol"))).alias("symbol"),
-        as_double(first_present(field("value"), at(nested, "$.value"))).alias("reference_value"),
-        text("gameId", "game_id").alias("game_id"),
-        *[text(c).alias(c) for c in ("slug", "status", "score", "period", "elapsed")],
-        *[as_bool(field(c)).alias(c) for c in ("live", "ended")],
-        F.when(change, F.to_json(merged)).otherwise(canonical_json(payload)).alias("payload_json"),
-    )
+    as_int = lambda v: as_long(v).cast("int")
+    values: dict[str, tuple[Column, Callable[[Column], Column]]] = {c: (at(record, f"$.{c}"), as_long) for c in ENVELOPE_LONGS}
+    values |= {c: (at(record, f"$.{c}"), as_int) for c in ENVELOPE_INTS}
+    values |= {c: (at(record, f"$.{c}"), as_text) for c in ("connection_id", "control_event", "checkpoint_id")}
+    values["exchange_timestamp_ms"] = (first_present(framed("timestamp"), F.when(~change, at(nested, "$.timestamp"))), as_long)
+    values["market"] = (first_truthy(framed("market"), field("condition_id"), field("slug")), as_text)
+    values["side"] = (field("side"), lambda v: F.upper(as_text(v)))
+    values |= {c: (field(c), as_double) for c in ("price", "size", "best_bid", "best_ask", "spread")}
+    values["tick_size"] = (first_truthy(*map(field, ("tick_size", "new_tick_size", "order_price_min_tick_size"))), as_double)
+    values["last_trade_price"] = (field("last_trade_price"), as_double)
+    values["fee_rate_bps"] = (field("fee_rate_bps"), as_int)
+    values |= {"transaction_hash": (field("transaction_hash"), as_text), "book_hash": (field("hash"), as_text)}
+    values["symbol"] = (first_present(field("symbol"), at(nested, "$.symbol")), as_text)
+    values["reference_value"] = (first_present(field("value"), at(nested, "$.value")), as_double)
+    values["game_id"] = (first_present(field("gameId"), field("game_id")), as_text)
+    values |= {c: (field(c), as_text) for c in ("slug", "status", "score", "period", "elapsed")}
+    values |= {c: (field(c), as_bool) for c in ("live", "ended")}
+    kind = F.coalesce("record_type", F.lit(""))
+    text = F.when(change, F.to_json(merged)).otherwise(canonical_json(payload))
+    out = staged(rows, ["sequence", "source_file", "source_line", kind.alias("record_type"), kind.alias("data_source"), "event_type", "asset_id", "change_index", "change_count", text.alias("payload_json")], values)
+    latency = F.col("received_at_ns") / 1e6 - F.col("exchange_timestamp_ms")
+    return out.withColumn("capture_latency_ms", latency).select(*EVENT_COLUMNS)
 
 
 def levels(rows: DataFrame) -> DataFrame:
@@ -201,31 +205,24 @@ def markets(rows: DataFrame) -> DataFrame:
     found = found.withColumn("tokens", F.when(F.size(F.coalesce(tokens, F.array().cast("array<variant>"))) > 0, F.filter(tokens, _object)).otherwise(F.array(F.parse_json(F.lit("{}")))))
     found = found.select("*", F.posexplode("tokens").alias("token_index", "T")).drop("tokens")
     look = lambda spec: [at(F.col(s[0]), "$." + s[2:]) for s in spec.split()]
-    t, rate = F.col("T"), as_double(at(F.col("F"), "$.r"))
-    special = {"fees_enabled": lambda c: F.coalesce(c, F.when(rate.isNotNull(), rate > 0))}
-    json = lambda v, keep: F.when(keep, canonical_json(v)).otherwise("")
+    t = F.col("T")
     tags = first_present(at(F.col("G"), "$.tags"), at(F.col("E"), "$.tags"), at(m, "$.tags"))
-    rewards = at(F.col("C"), "$.r")
-    return found.select(
-        F.col("sequence").alias("discovery_sequence"),
-        F.col("event_type").alias("discovery_record_type"),
-        (F.col("event_type") == MARKET_RECORDS[0]).alias("is_selected"),
-        as_long(at(F.col("record"), "$.received_at_ns")).alias("received_at_ns"),
-        *[as_text(first_present(*look(spec))).alias(name) for name, spec in MARKET_TEXTS.items()],
-        json(tags, is_present(tags)).alias("tags_json"),
-        as_text(at(t, "$.token_id")).alias("token_id"),
-        as_text(at(t, "$.outcome")).alias("outcome"),
-        as_double(at(t, "$.price")).alias("token_price"),
-        as_bool(at(t, "$.winner")).alias("winner"),
-        *[as_double(first_present(*look(spec))).alias(name) for name, spec in MARKET_DOUBLES.items()],
-        as_long(at(F.col("R"), "$.sponsors_count")).cast("int").alias("sponsors_count"),
-        *[special.get(name, lambda c: c)(as_bool(first_present(*look(spec)))).alias(name) for name, spec in MARKET_BOOLS.items()],
-        json(rewards, _object(rewards)).alias("clob_rewards_json"),
-        json(F.col("F"), is_truthy(F.col("F"))).alias("fee_details_json"),
-        canonical_json(m).alias("market_json"),
-        "market_index",
-        "token_index",
-    )
+    as_json = lambda v: F.coalesce(canonical_json(v), F.lit(""))
+    values: dict[str, tuple[Column, Callable[[Column], Column]]] = {"received_at_ns": (at(F.col("record"), "$.received_at_ns"), as_long)}
+    values |= {name: (first_present(*look(spec)), as_text) for name, spec in MARKET_TEXTS.items()}
+    values["tags_json"] = (tags, as_json)
+    values |= {"token_id": (at(t, "$.token_id"), as_text), "outcome": (at(t, "$.outcome"), as_text), "token_price": (at(t, "$.price"), as_double), "winner": (at(t, "$.winner"), as_bool)}
+    values |= {name: (first_present(*look(spec)), as_double) for name, spec in MARKET_DOUBLES.items()}
+    values["sponsors_count"] = (at(F.col("R"), "$.sponsors_count"), lambda v: as_long(v).cast("int"))
+    values |= {name: (first_present(*look(spec)), as_bool) for name, spec in MARKET_BOOLS.items()}
+    rewards, fees = at(F.col("C"), "$.r"), F.col("F")
+    values |= {"clob_rewards_json": (F.when(_object(rewards), rewards), as_json), "fee_details_json": (F.when(is_truthy(fees), fees), as_json), "market_json": (m, canonical_json)}
+    plain = [F.col("sequence").alias("discovery_sequence"), F.col("event_type").alias("discovery_record_type"), (F.col("event_type") == MARKET_RECORDS[0]).alias("is_selected")]
+    out = staged(found, [*plain, "market_index", "token_index"], values)
+    # fees count as enabled if nothing says so but their rate is known
+    enabled = F.coalesce("fees_enabled", F.col("fee_rate") > 0)
+    order = [c for c in out.columns if c not in ("market_index", "token_index")]
+    return out.withColumn("fees_enabled", enabled).select(*order, "market_index", "token_index")
 
 
 @dataclass
