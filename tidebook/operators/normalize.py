@@ -231,6 +231,11 @@ class Normalized:
     events: DataFrame
     levels: DataFrame
     markets: DataFrame
+    rows: DataFrame
+
+    def release(self) -> None:
+        """Drops what the tables share; they are computed anew if they are read again."""
+        self.rows.unpersist()
 
 
 def normalize(spark, paths: list[str], sequence_start: int = 0) -> Normalized:
@@ -240,5 +245,6 @@ def normalize(spark, paths: list[str], sequence_start: int = 0) -> Normalized:
 
 def normalize_lines(lines: DataFrame, sequence_start: int = 0) -> Normalized:
     records = parsed(lines)
-    rows = with_sequence(routed(records), sequence_start)
-    return Normalized(records, events(rows), levels(rows), markets(rows))
+    # parsed and numbered once for the three tables; what an executor loses is computed anew
+    rows = with_sequence(routed(records), sequence_start).persist()
+    return Normalized(records, events(rows), levels(rows), markets(rows), rows)

@@ -135,6 +135,7 @@ def _convert(spark: SparkSession, path: str, start: int, places: dict[str, str])
     tables = normalize(spark, [path], start)
     for name, df in (("events", tables.events), ("book_levels", tables.levels), ("markets", tables.markets)):
         df.write.option("compression", "zstd").parquet(places[name])
+    tables.release()
     events = spark.read.parquet(places["events"])
     raw = tables.records.agg(F.count("*").alias("raw_rows"), F.count_if("invalid_json").alias("invalid_json")).head()
     return {
