@@ -484,7 +484,7 @@ _GRID = [backtest.Config(reward_max_spread_cents=5.0), backtest.Config(order_siz
 
 @query()
 def backtest_fills(spark, sf_dir):
-    return backtest.fills(backtest.simulate(*_feed(spark, sf_dir)))
+    return backtest.fills(backtest.simulate(*_feed(spark, sf_dir), [_GRID[1]]))
 
 
 @query()
