@@ -30,8 +30,8 @@ TILE, ROWS = 512, 2048
 
 
 def scaled(vector: str, factor: float = 256.0) -> F.Column:
-    """floor(factor * x) of each component, as double."""
-    return F.transform(F.col(vector), lambda x: F.floor(x.cast("double") * F.lit(factor)).cast("double"))
+    """floor(factor * x) of each component, as double; null for one that isn't finite, as floor gives a long."""
+    return F.transform(F.col(vector), lambda x: F.when(~F.isnan(x) & (F.abs(x) < float("inf")), F.floor(x.cast("double") * F.lit(factor)).cast("double")))
 
 
 def _matrix(column: pa.Array, width: int) -> np.ndarray:
