@@ -152,8 +152,22 @@ class Page:
         return found
 
     def best(self) -> str | None:
+        """The path with the highest score. Without articles and main elements, the parent instead as long as
+        what else stands below it is mostly text outside links: an article may span several containers.
+        Containers that stand side by side in the body stay apart."""
         found = self.scores()
-        return min(found, key=lambda p: (-found[p], len(p), p)) if found else None
+        path = min(found, key=lambda p: (-found[p], len(p), p)) if found else None
+        if path is None or not MAIN.isdisjoint(self.own.values()):
+            return path
+        inner = path
+        while parent := inner.rpartition("/")[0]:
+            rest = [(len(t), n) for p, t, n in self.blocks if (p == parent or p.startswith(parent + "/")) and p != inner and not p.startswith(inner + "/")]
+            if 2 * sum(n for _, n in rest) > sum(n for n, _ in rest):
+                break
+            inner = parent
+            if rest:
+                path = parent
+        return path
 
     def below(self, path: str) -> str | None:
         """The text of the blocks at and below a path; None if the page doesn't have it."""
