@@ -80,3 +80,36 @@ def test_rest_of_texts_and_columns(spark):
     assert sorted(map(tuple, left.collect())) == [(1, "x", "u"), (2, "y", "v"), (3, None, "w")]
     assert without_repeats(df.limit(0), id_col="id").count() == 0
     assert cut_report(df.limit(0), id_col="id").count() == 0
+
+
+def test_tables_grow_in_proportion(spark, monkeypatch):
+    """One passage in ever more documents: no written table grows faster than they do."""
+    rnd = random.Random(9)
+    text = lambda n: " ".join("".join(rnd.choice("abcdefghij") for _ in range(rnd.randint(2, 8))) for _ in range(n))
+    passage, sizes = text(80), {}
+    write = suffix_dedup.written
+
+    def counted(df, name, keep=False):
+        out = write(df, name, keep)
+        seen.setdefault(name, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(suffix_dedup, "written", counted)
+    monkeypatch.setattr(suffix_dedup, "MIN_HEAVY", 64)
+    for n in (100, 400):
+        seen: dict[str, list[int]] = {}
+        rows = [(i, f"{text(12)} {passage} {text(12)}") for i in range(n)]
+        assert got(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows, 200)
+        sizes[n] = {name: max(found) for name, found in seen.items()}
+    assert sizes[400]["halves"] <= 2 * 4 * 400  # two ends, each in two phrases at most
+    assert all(found <= 5 * sizes[100].get(name, 0) + 200 for name, found in sizes[400].items())
+
+
+def test_repeated_rows_and_clashing_columns(spark):
+    rnd = random.Random(2)
+    text = "".join(rnd.choice("abcdef ") for _ in range(700))
+    rows = [(1, text, "a", "b", "c", "d")] * 9 + [(2, "kept", "e", "f", "g", "h")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, h string, i string, g string, spans string")
+    assert sorted(map(tuple, without_repeats(df).collect())) == sorted([(1, "", "a", "b", "c", "d")] * 9 + [rows[-1]])
+    lists = suffix_dedup._span_lists(df, "doc_id", "text", 200).collect()
+    assert len(lists) == 1 and len(lists[0]["spans"]) <= len(text)

@@ -1,40 +1,76 @@
-"""What several operators need: the shared scratch folder and written tables."""
+"""What several operators need: the shared scratch folder, written tables and free column names."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _OWN: dict[str, str] = {}
+_tables: ContextVar[list[tuple[SparkSession, str]] | None] = ContextVar("tables", default=None)
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Only where the setting is absent (single-machine tests) a temporary folder is made.
+    Where the setting is absent a temporary folder is made in local mode (tests); on a cluster that is an
+    error, as each machine would write to a folder of its own.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _OWN:
         _OWN[app] = "file://" + tempfile.mkdtemp(prefix="tidebook-")
     return _OWN[app]
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """`df` as a Parquet table in the shared folder: a cut in the lineage that outlives executors.
 
-    The tables live below ``<spark.checkpoint.dir>/tidebook/<application id>`` and may be deleted
-    when the application has ended.
+    The tables live below ``<spark.checkpoint.dir>/tidebook/<application id>``. Those written within
+    `scratch` are deleted at its end unless `keep` is set; others may be when the application has ended.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tidebook/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    tables = _tables.get()
+    if tables is not None and not keep:
+        tables.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch() -> Iterator[None]:
+    """Deletes the tables written within it, but for those to keep, once nothing needs them any more:
+    what leaves the block must be written itself."""
+    tables: list[tuple[SparkSession, str]] = []
+    token = _tables.set(tables)
+    try:
+        yield
+    finally:
+        _tables.reset(token)
+        for spark, path in tables:
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores added until no column of `df` has them."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

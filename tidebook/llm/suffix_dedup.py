@@ -12,8 +12,8 @@
 4. The windows found by 2 and 3 are united per document and cut out.
 
 Triggers with a great many occurrences (found by a frequent-items sketch, at most `MAX_HEAVY`) take
-another exact way that never gathers them: counts by phrase, by groups of neighbouring windows and, for
-what is left, by window, aggregated before each shuffle. All other groups are bounded by the sketch's guarantee.
+another exact way that never gathers them: counts by phrase and, where phrases differ, by halves, quarters
+and so on of their windows, aggregated before each shuffle; only what a repeat's end lies in is halved. All other groups are bounded by the sketch's guarantee.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import fresh, scratch, written
 
 #: Bytes of a repeat that is removed.
 WINDOW = 200
@@ -37,8 +37,6 @@ TRIGGER = 32
 BLOCK = 1 << 22
 #: Counters of the sketch, triggers that take the way for heavy ones, and rows that make one heavy.
 TRACKED, MAX_HEAVY, MIN_HEAVY = 4096, 1024, 256
-#: Neighbouring windows of a heavy trigger's phrase that go together.
-STEP = 8
 #: Windows that are sorted at once, about.
 SORTED = 60_000
 #: A phrase's place: start << 20 | number of windows << 10 | offset of the trigger. Both are below 1024.
@@ -193,85 +191,72 @@ def _sorted_windows(phrases: DataFrame, window: int) -> DataFrame:
     return phrases.mapInArrow(run, f"id {kind}, h long, start long, stop long")
 
 
-def _groups_of_windows(phrases: DataFrame, window: int) -> DataFrame:
-    """For each phrase, a row per `STEP` neighbouring windows (by offset from the trigger): id, h, at (the
-    first window's start), n, copies, bytes (all that the windows cover), c1 and c2 (a hash of what
-    every window of the place covers) and u (a hash of the bytes and of the place)."""
-    kind = phrases.schema["id"].dataType.simpleString()
+def _halves(segments: DataFrame, window: int) -> DataFrame:
+    """Both halves of each segment of a phrase's windows, where they aren't empty.
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(0, batch.num_rows, 1000):
-                part, own, rows, core, whole = batch.slice(i, 1000), [], [], [], []
-                place = part.column("place").to_numpy(zero_copy_only=False)
-                for k, (p, trig, copies, raw) in enumerate(zip(place.tolist(), part.column("trig").to_pylist(), part.column("copies").to_pylist(), part.column("bytes").to_pylist(), strict=True)):
-                    start, count, offset = p >> 2 * FIELD, p >> FIELD & 1023, p & 1023
-                    first = 0
-                    while first < count:
-                        # windows first .. last have offsets from the trigger with one quotient by STEP
-                        group = (offset - first) // STEP
-                        last = min(count - 1, offset - group * STEP)
-                        shared = offset - group * STEP  # the last window of the place starts here in the phrase, owned or not
-                        span, seed = raw[first : last + window], (trig ^ group * 0x9E3779B97F4A7C15) & (1 << 64) - 1
-                        core.append(xxhash.xxh3_128_digest(raw[shared : shared - STEP + 1 + window], seed))
-                        whole.append(xxhash.xxh3_64_intdigest(span, (offset - first) << 16 | offset - last))
-                        own.append(k)
-                        rows.append((start + first, last - first + 1, copies, span))
-                        first = last + 1
-                c = np.frombuffer(b"".join(core), np.int64).reshape(-1, 2)
-                take = pa.array(own, pa.int64())
-                columns = list(zip(*rows, strict=True)) or [()] * 4
-                yield pa.RecordBatch.from_arrays([*(part.column(x).take(take) for x in ("id", "h")), *(pa.array(x, pa.int64()) for x in columns[:3]), pa.array(columns[3], pa.binary()), pa.array(c[:, 0]), pa.array(c[:, 1]), pa.array(np.array(whole, np.uint64).view(np.int64))], ["id", "h", "at", "n", "copies", "bytes", "c1", "c2", "u"])
-
-    return phrases.select("id", "h", "place", "trig", "copies", "bytes").mapInArrow(run, f"id {kind}, h long, at long, n long, copies long, bytes binary, c1 long, c2 long, u long")
-
-
-def _single_windows(groups: DataFrame, window: int) -> DataFrame:
-    """id, h, at, alone, w1, w2 (a 128-bit hash) of each window of (id, h, at, bytes, alone)."""
-    kind = groups.schema["id"].dataType.simpleString()
+    A segment is a row (id, h, at, n, off, low, high, alone, bytes): n windows from `at` on, the first with
+    the trigger at offset off, all with offsets from low to high; bytes are what the windows cover. Added
+    are c1 and c2 (a hash of what every window with such an offset covers, so equal windows have it in
+    common) and u (a hash of the bytes and of the offsets).
+    """
+    kind = segments.schema["id"].dataType.simpleString()
+    names = ["at", "n", "off", "low", "high"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own, at, raw = [], [], []
-            for i, (start, text) in enumerate(zip(batch.column("at").to_pylist(), batch.column("bytes").to_pylist(), strict=True)):
-                for k in range(len(text) - window + 1):
-                    own.append(i)
-                    at.append(start + k)
-                    raw.append(xxhash.xxh3_128_digest(text[k : k + window]))
-            w, take = np.frombuffer(b"".join(raw), np.int64).reshape(-1, 2), pa.array(own, pa.int64())
-            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(take) for c in ("id", "h")), pa.array(at, pa.int64()), batch.column("alone").take(take), pa.array(w[:, 0]), pa.array(w[:, 1])], ["id", "h", "at", "alone", "w1", "w2"])
-
-    return groups.select("id", "h", "at", "bytes", "alone").mapInArrow(run, f"id {kind}, h long, at long, alone boolean, w1 long, w2 long")
+            for i in range(0, batch.num_rows, 4000):
+                part, own, rows, texts, core, whole = batch.slice(i, 4000), [], [], [], [], []
+                for k, (at, n, off, low, high, raw) in enumerate(zip(*(part.column(c).to_pylist() for c in [*names, "bytes"]), strict=True)):
+                    middle = (low + high) // 2
+                    for a, b in ((low, middle), (middle + 1, high)):
+                        x, y = max(a, off - n + 1), min(b, off)  # offsets that the segment has
+                        if x <= y:
+                            first = off - y
+                            own.append(k)
+                            rows.append((at + first, y - x + 1, y, a, b))
+                            texts.append(raw[first : off - x + window])
+                            core.append(xxhash.xxh3_128_digest(raw[off - a : off - b + window], a << 16 | b))
+                            whole.append(xxhash.xxh3_64_intdigest(texts[-1], x << 16 | y))
+                c, take = np.frombuffer(b"".join(core), np.int64).reshape(-1, 2), pa.array(own, pa.int64())
+                columns = [pa.array(col, pa.int64()) for col in (zip(*rows, strict=True) if rows else [()] * 5)]
+                yield pa.RecordBatch.from_arrays([*(part.column(x).take(take) for x in ("id", "h")), *columns, part.column("alone").take(take), pa.array(texts, pa.binary()), pa.array(c[:, 0]), pa.array(c[:, 1]), pa.array(np.array(whole, np.uint64).view(np.int64))], ["id", "h", *names, "alone", "bytes", "c1", "c2", "u"])
+
+    return segments.select("id", "h", *names, "alone", "bytes").mapInArrow(run, f"id {kind}, h long, at long, n long, off long, low long, high long, alone boolean, bytes binary, c1 long, c2 long, u long")
 
 
 def _heavy_spans(phrases: DataFrame, window: int) -> list[DataFrame]:
-    """Spans of repeated windows among phrases of heavy triggers, never gathered by trigger.
+    """Spans of repeated windows among different phrases of heavy triggers, never gathered by trigger.
 
-    Windows with neighbouring offsets from the trigger go together. If all that a group covers occurs
-    twice, so do its windows; if not even what they have in common does, none can. Only what is left,
-    where a repeat begins or ends, is taken apart into windows.
+    A phrase's windows are halved by their offset from the trigger, again and again. If all that a half
+    covers occurs twice, so do its windows; if not even what its windows have in common does, none can.
+    Only halves between the two are halved further: those in which a repeat begins or ends, one per end
+    and round, so no table has more rows than twice the halves before. After 8 rounds they are windows.
     """
-    groups = written(_groups_of_windows(phrases, window), "groups")
-    one = F.struct("id", "h", "at", "n", "copies", "bytes")
-    distinct = written(groups.groupBy("c1", "c2", "u").agg(F.count("*").alias("times"), F.min_by(one, F.struct("at", "h")).alias("one")), "distinct")
-    often = written(distinct.filter("times > 1").select("c1", "c2", "u"), "often")
-    all_of = groups.filter("copies = 1").join(often, ["c1", "c2", "u"], "left_semi")
-    spans = [all_of.select("id", "h", F.col("at").alias("start"), (F.col("at") + F.col("n") - 1 + window).alias("stop"))]
-    mixed = written(distinct.groupBy("c1", "c2").agg(F.count("*").alias("n")).filter("n > 1").select("c1", "c2"), "mixed")
-    apart = distinct.join(mixed, ["c1", "c2"], "left_semi").select("one.id", "one.h", "one.at", "one.bytes", ((F.col("times") == 1) & (F.col("one.copies") == 1)).alias("alone"))
-    windows = written(_single_windows(apart, window), "windows")
-    twice = written(windows.groupBy("w1", "w2").agg(F.count("*").alias("n")).filter("n > 1").select("w1", "w2"), "twice")
-    spans.append(windows.filter("alone").join(twice, ["w1", "w2"], "left_semi").select("id", "h", F.col("at").alias("start"), (F.col("at") + window).alias("stop")))
-    return spans
-
-
-def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
-    """The texts (id, h, text), h a hash of the text, and the spans (id, h, start, stop) that repeats
-    cover, which may touch or overlap."""
+    place = F.col("place")
+    segments = phrases.select("id", "h", F.shiftright(place, 2 * FIELD).alias("at"), F.shiftright(place, FIELD).bitwiseAND(1023).alias("n"), place.bitwiseAND(1023).alias("off"), F.lit(0).cast("long").alias("low"), F.lit(window - TRIGGER).cast("long").alias("high"), (F.col("copies") == 1).alias("alone"), "bytes")
+    one = F.struct("id", "h", "at", "n", "off", "low", "high", "alone", "bytes")
+    spans = []
+    while True:
+        halves = written(_halves(segments, window), "halves")
+        kinds = written(halves.groupBy("c1", "c2", "u").agg(F.count("*").alias("times"), F.min_by(one, F.struct("at", "h")).alias("one")), "kinds")
+        often = kinds.filter("times > 1").select("c1", "c2", "u")
+        spans.append(halves.filter("alone").join(often, ["c1", "c2", "u"], "left_semi").select("id", "h", F.col("at").alias("start"), (F.col("at") + F.col("n") - 1 + window).alias("stop")))
+        mixed = written(kinds.groupBy("c1", "c2").agg(F.count("*").alias("n")).filter("n > 1").select("c1", "c2"), "mixed")
+        if mixed.isEmpty():
+            return spans
+        # of equal halves one is enough from here on; if there were several, they are all found
+        segments = kinds.join(mixed, ["c1", "c2"], "left_semi").select("one.*", "times").withColumn("alone", F.col("alone") & (F.col("times") == 1)).drop("times")
+
+
+def _texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return df.select(F.col(id_col).alias("id"), F.xxhash64(F.coalesce(df[text_col], F.lit(""))).alias("h"), F.col(text_col).alias("text"))
+
+
+def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
+    """The spans (id, h, start, stop) that repeats cover, h a hash of the text; they may touch or overlap."""
     if not TRIGGER < window < 1000:
         raise ValueError("window must lie between 33 and 999 bytes")
-    spark = df.sparkSession
-    texts = df.select(F.col(id_col).alias("id"), F.xxhash64(F.coalesce(df[text_col], F.lit(""))).alias("h"), F.col(text_col).alias("text"))
+    spark, texts = df.sparkSession, _texts(df, id_col, text_col)
     rows = written(_phrases(texts, window), "parse")
     sketch = rows.select("trig", F.expr("spark_partition_id() div 32").alias("node")).groupBy("node").agg(F.expr(f"approx_top_k_accumulate(trig, {TRACKED}) AS part"))
     top = sketch.groupBy(F.expr("node < 0").alias("all")).agg(F.expr(f"approx_top_k_estimate(approx_top_k_combine(part, {TRACKED}), {MAX_HEAVY}) AS top")).head()
@@ -310,7 +295,7 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     out = spans[0]
     for more in spans[1:]:
         out = out.unionByName(more)
-    return texts, out
+    return out
 
 
 def _merged(start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -320,15 +305,13 @@ def _merged(start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return start[first], stop[np.concatenate([first[1:], [True]])]
 
 
-def _span_lists(spans: DataFrame) -> DataFrame:
-    """i, g and the spans of a document; there are no more of them than the document is long."""
-    lists = spans.groupBy("id", "h").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
-    return written(lists.select(F.col("id").alias("i"), F.col("h").alias("g"), "spans"), "spans")
-
-
-def _with_spans(texts: DataFrame, spans: DataFrame) -> DataFrame:
-    lists = _span_lists(spans)
-    return texts.join(lists, F.col("id").eqNullSafe(F.col("i")) & (F.col("h") == F.col("g")), "left").drop("i", "g")
+def _span_lists(df: DataFrame, id_col: str, text_col: str, window: int) -> DataFrame:
+    """i, g (hash of the text) and the different spans of a document, no more than it is long. Tables
+    that led to them are deleted."""
+    with scratch():
+        spans = repeated_spans(df, id_col, text_col, window)
+        lists = spans.groupBy("id", "h").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
+        return written(lists.select(F.col("id").alias("i"), F.col("h").alias("g"), "spans"), "spans", keep=True)
 
 
 def _cut(raw: bytes, spans: pa.Scalar) -> tuple[bytes, int]:
@@ -350,7 +333,8 @@ def cut_report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
     texts are empty; texts below `window` bytes keep all; of repeated rows each counts as a place, so
     they lose all their windows. Any id, null too, is handed on. Other columns are not read.
     """
-    joined = _with_spans(*repeated_spans(df, id_col, text_col, window))
+    lists = _span_lists(df, id_col, text_col, window)
+    joined = _texts(df, id_col, text_col).join(lists, F.col("id").eqNullSafe(F.col("i")) & (F.col("h") == F.col("g")), "left")
     kind = df.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -372,18 +356,18 @@ def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """`df` with the text that is left, every row and column kept.
 
     Bytes of a character that a cut has split are left out too, as a text can't hold them. Texts that
-    lose nothing, null ones too, stay as they are.
+    lose nothing, null ones too, stay as they are. Columns of any name are handed on.
     """
-    _, spans = repeated_spans(df, id_col, text_col, window)
-    lists = _span_lists(spans).toDF("__i", "__g", "__spans")
-    hashed = df.withColumn("__h", F.xxhash64(F.coalesce(df[text_col], F.lit(""))))
-    joined = hashed.join(lists, F.col(id_col).eqNullSafe(F.col("__i")) & (F.col("__h") == F.col("__g")), "left").select(*[F.col(f"`{c}`") for c in df.columns], "__spans")
+    h, i, g, found = fresh(df, "h", "i", "g", "spans")
+    lists = _span_lists(df, id_col, text_col, window).toDF(i, g, found)
+    hashed = df.withColumn(h, F.xxhash64(F.coalesce(df[text_col], F.lit(""))))
+    joined = hashed.join(lists, F.col(id_col).eqNullSafe(F.col(i)) & (F.col(h) == F.col(g)), "left").select(*[F.col(f"`{c}`") for c in df.columns], found)
     at, names = df.columns.index(text_col), df.columns
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, kept = batch.column(at), []
-            for text, spans in zip(texts, batch.column("__spans"), strict=True):
+            for text, spans in zip(texts, batch.column(found), strict=True):
                 raw = text.as_py()
                 kept.append(raw if spans.as_py() is None else _cut((raw or "").encode("utf-8", "surrogatepass"), spans)[0].decode("utf-8", "ignore"))
             yield pa.RecordBatch.from_arrays([pa.array(kept, texts.type) if i == at else batch.column(i) for i in range(len(names))], names)
