@@ -8,6 +8,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+from tidebook.llm import packing
 from tidebook.llm.packing import Encoder, Plan, pack, solve
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -91,3 +92,14 @@ def test_ids_are_the_librarys(spark):
     tokenizer, own = Tokenizer.from_file(PATH), Encoder(PATH)
     texts = ["", " ", "a b \x1c c", "it's 12½ ǅ İ́ 😀  x\n\n y", "<|endoftext|> <|endoftext|", "z" * 3000, " a" * 2000, "\x85　. \t\r\n'LL've"]
     assert [own.encode(t) for t in texts] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_very_long_texts(monkeypatch):
+    """Long runs without a place to cut, and texts that are cut, give the library's ids."""
+    encoder, library = Encoder(PATH), Tokenizer.from_file(PATH)
+    words = "The 12 cats' naps,  don't\n\tend\u3000here; l'été <|endoftext|> "
+    texts = [" " * 5_000_000, " \n" * 500_000, "\n" * 300_000 + "end", "a" * 5_000_000, "\u4e2d\u6587" * 200_000, words * 9000, "x" + " " * 120_000 + "y z" * 20_000, "é" * 100_001 + " b"]
+    for text in texts:
+        assert encoder.encode(text) == library.encode(text, add_special_tokens=False).ids
+    monkeypatch.setattr(packing, "SLICE", 20)
+    assert encoder.encode(words * 50) == library.encode(words * 50, add_special_tokens=False).ids

@@ -35,9 +35,9 @@ def test_query_equals_its_sql(spark, name):
     assert sorted(str(tuple(r[c] for c in columns)) for r in rows.collect()) == sorted(map(str, cursor.fetchall()))
 
 
-@pytest.mark.parametrize("at_once", [16_384, 3])
+@pytest.mark.parametrize("at_once", [16 << 20, 3 * 6 * 8])
 def test_topk(spark, monkeypatch, at_once):
-    monkeypatch.setattr(topk, "QUERIES_AT_ONCE", at_once)
+    monkeypatch.setattr(topk, "BLOCK_BYTES", at_once)
     rnd = np.random.default_rng(1)
     vectors = [(i, [float(x) for x in rnd.integers(-3, 4, 6)]) for i in range(120)]
     vectors += [(200, None), (201, [1.0, None, 1.0, 1.0, 1.0, 1.0]), (202, [float("nan")] * 6), (203, [1.0]), (None, [1.0] * 6), (5, vectors[5][1])]
@@ -54,6 +54,23 @@ def test_topk(spark, monkeypatch, at_once):
     assert top_k(few, few, 5).count() == 6 and top_k(df.limit(0), df, 5).count() == 0 and top_k(df, df.limit(0), 5).count() == 0
 
 
+@pytest.mark.parametrize("width", [1, 3, 16])
+def test_threshold_resolves_few_pairs(width):
+    """The lists hand over what reaches the cutoff, all of it, and most other pairs are never resolved."""
+    rnd = np.random.default_rng(width)
+    queries, vectors = rnd.integers(-40, 40, (50, width)).astype(float), rnd.integers(-40, 40, (900, width)).astype(float)
+    others = rnd.random((50, 900)) < 0.95
+    whole = np.where(others, queries @ vectors.T, -np.inf)
+    best = topk.heads(queries, vectors, others, 5)
+    assert (best[:, :5] <= -np.sort(-whole, axis=1)[:, :5]).all() and (best > -np.inf).all()
+    for cutoff in (best[:, 4], np.full(50, -np.inf), np.full(50, -3.0), np.full(50, 1e9)):
+        row, col, total, resolved = topk.sufficient(queries, vectors, others, cutoff)
+        want = {(i, j): whole[i, j] for i, j in zip(*np.nonzero((whole >= cutoff[:, None]) & others), strict=True)}
+        assert dict(zip(zip(row, col, strict=True), total, strict=True)) == want
+        if cutoff[0] == best[0, 4]:
+            assert resolved < others.sum() / 2
+
+
 def test_url_rules(spark):
     rules = [("com", "/", "allow"), ("a.com", "/x/", "block"), ("b.a.com", "/x/", "allow"), ("b.a.com", "/x/y", "block"), ("b.a.com", "/x/y", "allow"), ("net", "/es/", "block"), ("a-b.com", "/", "block"), (None, "/", "block"), ("", "/", "block"), ("com", None, "block")]
     hosts = ["com", "a.com", "A.com", "b.a.com", "c.b.a.com", "xa.com", "a-b.com", "a.net", "net", "a.com.", "..com", "", "a.com:80"]

@@ -25,8 +25,9 @@ import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
-from .bpe import BYTE_LEVEL_WORDS, SLICE, SPACE, byte_symbols, texts_in_groups
+from .bpe import BYTE_LEVEL_WORDS, SPACE, byte_symbols, texts_in_groups
 from .common import written
 
 WINDOW = 1024
@@ -36,14 +37,22 @@ FREQUENT = 64
 ROUNDS = 200
 #: The id behind each document.
 END = 0
+#: Code points that are encoded at once: longer texts are cut between words.
+SLICE = 50_000
 
 _between = re.compile(f"[^{SPACE}] [^{SPACE}]")
 
 
 class Encoder:
-    """Ids of a byte-level BPE file in the tokenizers format, as the tokenizers library gives them."""
+    """Ids of a byte-level BPE file in the tokenizers format, as the tokenizers library gives them.
+
+    Texts are cut where one space stands between words. A stretch of more than two `SLICE` without such a
+    place (white space, or a script without spaces) goes through the library itself: the faster encoder
+    gives up on very long runs.
+    """
 
     def __init__(self, path: str) -> None:
+        self.path, self.library = path, None
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         back = {c: b for b, c in enumerate(byte_symbols())}
@@ -64,10 +73,17 @@ class Encoder:
                 end = len(segment)
                 if end - at > SLICE and (m := _between.search(segment, at + SLICE)):
                     end = m.start() + 1
-                ids += self.encoding.encode_ordinary(segment[at:end])
+                ids += self.encoding.encode_ordinary(segment[at:end]) if end - at <= 2 * SLICE else self.slowly(segment[at:end])
                 at = end
         return ids
 
+    def slowly(self, text: str) -> list[int]:
+        if self.library is None:
+            self.library = Tokenizer.from_file(self.path)
+            self.library.no_truncation()
+            self.library.no_padding()
+        return self.library.encode(text, add_special_tokens=False).ids
+
 
 _loaded: dict[str, Encoder] = {}
 
@@ -201,8 +217,9 @@ def pack(df: DataFrame, path: str, window: int = WINDOW, id_col: str = "doc_id",
 
     Each document is its ids and id 0; each id lies in exactly one piece, and the pieces of a sequence
     leave no gap from offset 0 on. Every sequence has `window` ids or a power of two of them. A null
-    text is empty (id 0 alone). Repeated rows, and rows with one id, are packed each; a null id is
-    handed on. No rows give no pieces. Other columns are not read.
+    text is empty (id 0 alone); a text may be of any length and without any space. Repeated rows, and
+    rows with one id, are packed each; a null id is handed on. No rows give no pieces. Other columns are
+    not read.
     """
     kind = df.schema[id_col].dataType.simpleString()
     docs = written(_tokenised(df, path, window, id_col, text_col), "tokens").withColumn("tail_length", (F.col("doc_tokens") % window).cast("int"))
