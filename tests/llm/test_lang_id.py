@@ -27,12 +27,12 @@ def slow_phrases(text, sample):
 
 def test_automaton_has_all_substrings():
     text = bytes(random.Random(1).choice(b"abc") for _ in range(60))
-    go, subs = suffix_automaton(text), {text[i:j] for i in range(60) for j in range(i, 61)}
+    go, subs = suffix_automaton(bytes(c - 97 for c in text), 3), {text[i:j] for i in range(60) for j in range(i, 61)}
     paths, queue = set(), [(0, b"")]
     while queue:
         s, p = queue.pop()
         paths.add(p)
-        queue += [(t, p + bytes([c])) for c, t in go[s].items()]
+        queue += [(go[s * 3 + c], p + bytes([97 + c])) for c in range(3) if go[s * 3 + c]]
     assert paths == subs
 
 
@@ -47,6 +47,20 @@ def test_phrases_are_longest_matches():
     assert np.array_equal(parser.phrases(texts), np.array(want))
 
 
+def test_all_bytes_are_told_apart(spark):
+    """Languages that together use far more than 63 bytes, one script apart by single letters."""
+    alphabets = {"a": range(0x430, 0x450), "g": range(0x3B1, 0x3CA), "h": range(0x5D0, 0x5EB), "j": range(0x3041, 0x3097), "k": range(0xAC00, 0xAC40), "l": range(0x61, 0x7B), "t": range(0xE01, 0xE2F)}
+    rnd = random.Random(5)
+    text = lambda a, n: " ".join("".join(chr(rnd.choice(a)) for _ in range(5)) for _ in range(n))
+    samples = {k: text(a, 400).encode() for k, a in alphabets.items()}
+    parser = CrossParser(samples)
+    assert parser.decide([text(a, 20) for a in alphabets.values()])[0] == list(alphabets)
+    texts = [_folded((text(alphabets["j"], 30) + text(alphabets["k"], 30)).encode())]
+    assert parser.phrases(texts).tolist() == [[slow_phrases(texts[0], _folded(samples[k])) for k in parser.langs]]
+    long = text(alphabets["t"], 300_000)
+    assert parser.decide([long, None, ""])[0] == ["t", "und", "und"]
+
+
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet(DATA)
     got = {r["doc_id"]: r for r in identify(docs).collect()}

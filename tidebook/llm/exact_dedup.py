@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import fresh, written
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Rows of the broadcast table at most.
@@ -87,13 +87,15 @@ def drop_exact_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """`df` with one row of each group of equal texts, the one with the largest id; same columns.
 
     Copies of heavy digests are removed where they are read, so the shuffle of whole rows has no
-    large group. Of repeated rows with that id one stays, whichever is met first.
+    large group. Of repeated rows with that id one stays, whichever is met first. Null texts are empty
+    ones; a null id is smaller than any other. Columns of any name are handed on; no rows give none.
     """
-    mark, columns = "__digest", df.columns
+    columns = df.columns
+    mark, rank, found, stays = fresh(df, "digest", "rank", "heavy", "stays")
     rows = written(df.select(F.col(id_col).alias("id"), text_digest(df[text_col]).alias("digest")).withColumn("rid", F.lit(0).cast("long")), "digests")
-    heavy = written(heavy_digests(rows), "heavy").select(F.col("digest").alias("__heavy"), F.col("winner.id").alias("__stays"))
+    heavy = written(heavy_digests(rows), "heavy").select(F.col("digest").alias(found), F.col("winner.id").alias(stays))
     marked = df.withColumn(mark, text_digest(df[text_col]))
-    mine = marked.join(F.broadcast(heavy), F.col(mark) == F.col("__heavy"), "left").filter(F.col("__heavy").isNull() | F.col(id_col).eqNullSafe(F.col("__stays")))
+    mine = marked.join(F.broadcast(heavy), F.col(mark) == F.col(found), "left").filter(F.col(found).isNull() | F.col(id_col).eqNullSafe(F.col(stays)))
     first = Window.partitionBy(mark).orderBy(F.col(id_col).desc())
     # equal rows of one heavy text are still many only if their id repeats: partial aggregation can't carry whole rows
-    return mine.withColumn("__rank", F.row_number().over(first)).filter("__rank = 1").select(*columns)
+    return mine.withColumn(rank, F.row_number().over(first)).filter(F.col(rank) == 1).select(*[F.col(f"`{c}`") for c in columns])

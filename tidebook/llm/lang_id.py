@@ -11,20 +11,21 @@ rows of `ROW` bytes, each from the root; every byte of a text counts.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import lean
+
 #: Bytes of labelled text per language that its automaton is built of: a bounded sample, the documents
 #: with the smallest hashes of their ids.
 SAMPLE_BYTES = 40_000
 #: Documents per language that the sample is drawn from, about.
 SAMPLE_DOCS = 64
-#: Symbols that are told apart: the most frequent bytes of the sample; others share one.
-SYMBOLS = 63
 #: Bytes parsed from the root, and rows of them at once.
 ROW, ROWS = 512, 8192
 HELD_OUT = 5
@@ -35,30 +36,31 @@ def held_out(id_col: str = "doc_id") -> F.Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % HELD_OUT == 0, F.lit(True))
 
 
-def suffix_automaton(text: bytes) -> list[dict[int, int]]:
-    """Transitions by state (0 is the root) of the smallest automaton that accepts all substrings."""
-    go: list[dict[int, int]] = [{}]
-    link, size, last = [-1], [0], 0
+def suffix_automaton(text: bytes, width: int) -> array:
+    """The smallest automaton that accepts all substrings of `text`, whose symbols are below `width`: a row
+    of `width` next states per state, 0 (the root, where no transition leads) for none."""
+    none = array("i", [0]) * width
+    go, link, size, last = array("i", none), [-1], [0], 0
     for c in text:
-        new = len(go)
-        go.append({})
+        new = len(size)
+        go.extend(none)
         size.append(size[last] + 1)
         link.append(0)
         p = last
-        while p >= 0 and c not in go[p]:
-            go[p][c] = new
+        while p >= 0 and not go[p * width + c]:
+            go[p * width + c] = new
             p = link[p]
         if p >= 0:
-            q = go[p][c]
+            q = go[p * width + c]
             if size[q] == size[p] + 1:
                 link[new] = q
             else:
-                copy = len(go)
-                go.append(dict(go[q]))
+                copy = len(size)
+                go.extend(go[q * width : (q + 1) * width])
                 size.append(size[p] + 1)
                 link.append(link[q])
-                while p >= 0 and go[p].get(c) == q:
-                    go[p][c] = copy
+                while p >= 0 and go[p * width + c] == q:
+                    go[p * width + c] = copy
                     p = link[p]
                 link[q] = link[new] = copy
         last = new
@@ -66,31 +68,30 @@ def suffix_automaton(text: bytes) -> list[dict[int, int]]:
 
 
 class CrossParser:
-    """Phrase counts of texts against each language's sample."""
+    """Phrase counts of texts against each language's sample.
+
+    A language's symbols are the bytes of its sample; any other byte can't be matched and is the last one.
+    """
 
     def __init__(self, samples: dict[str, bytes]) -> None:
         self.langs = sorted(samples)
-        counts = np.zeros(256, np.int64)
-        for text in samples.values():
-            counts += np.bincount(np.frombuffer(_folded(text), np.uint8), minlength=256)
-        frequent = [b for b in np.argsort(-counts, kind="stable")[:SYMBOLS].tolist() if counts[b]]
-        self.symbol = np.full(256, len(frequent), np.uint8)
-        self.symbol[frequent] = np.arange(len(frequent))
-        self.width = len(frequent) + 1
-        self.tables = [self._table(self.symbol[np.frombuffer(_folded(samples[lang]), np.uint8)].tobytes()) for lang in self.langs]
-
-    def _table(self, text: bytes) -> np.ndarray:
+        self.symbols, self.tables = [], []
+        for lang in self.langs:
+            text = np.frombuffer(_folded(samples[lang]), np.uint8)
+            known = np.unique(text)
+            symbol = np.full(256, len(known), np.uint16)
+            symbol[known] = np.arange(len(known))
+            self.symbols.append(symbol)
+            self.tables.append(self._table(symbol[text].astype(np.uint8).tobytes(), len(known) + 1))
+
+    def _table(self, text: bytes, width: int) -> np.ndarray:
         """By state and symbol: the next state's row << 1, plus 1 if a phrase ends before the symbol."""
-        go, width = suffix_automaton(text), self.width
+        go = np.frombuffer(suffix_automaton(text, width), np.int32).reshape(-1, width)
         lost = len(go)  # behind a symbol that the sample lacks, which is a phrase of its own
-        root = np.full(width, lost, np.int64)
-        for c, to in go[0].items():
-            root[c] = to
+        root = np.where(go[0] > 0, go[0], lost).astype(np.int32)
         table = np.empty((lost + 1, width), np.int32)
-        table[:] = (root * width << 1 | 1)[None, :]
-        for state, after in enumerate(go):
-            if after:
-                table[state, list(after)] = np.array([*after.values()], np.int64) * width << 1
+        table[:lost] = np.where(go > 0, go * width << 1, (root * width << 1 | 1)[None, :])
+        table[lost] = root * width << 1 | 1
         table[0] = root * width << 1  # the first phrase is counted already
         return table.ravel()
 
@@ -105,9 +106,10 @@ class CrossParser:
         order = np.argsort(-size, kind="stable")  # full rows first: the rows still going are a prefix
         for at in range(0, len(order), ROWS):
             rows = order[at : at + ROWS]
-            codes = np.ascontiguousarray(self.symbol[raw[rows]].T)
+            columns = np.ascontiguousarray(raw[rows].T)
             going = np.searchsorted(-size[rows], -np.arange(1, ROW + 1), "right")
-            for lang, table in enumerate(self.tables):
+            for lang, (symbol, table) in enumerate(zip(self.symbols, self.tables, strict=True)):
+                codes = symbol[columns]
                 state, count = np.zeros(len(rows), np.int32), np.ones(len(rows), np.int32)
                 for step in range(int(size[rows[0]])):
                     n = going[step]
@@ -145,23 +147,30 @@ def learn(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     """Sample text by language, at most `sample_bytes` each.
 
     Every label with a non-empty text is learned. Which documents are taken depends on the hashes of
-    their ids alone: those below a threshold that follows from the language's count.
+    their ids alone: the smallest ones, until they fill the bound. All languages are read in one pass:
+    those below a threshold that follows from the language's count, about 2 * `sample_docs` each.
     """
     rows = labelled.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).filter("lang IS NOT NULL AND text <> ''")
-    rank = F.pmod(F.xxhash64("id", F.lit(SAMPLE_DOCS)), F.lit(1 << 30))
+    rows = rows.withColumn("rank", F.pmod(F.xxhash64("id", F.lit(SAMPLE_DOCS)), F.lit(1 << 30)))
+    # the text is cut to the bound here, where it is learned from; predictions read whole texts
+    rows = rows.withColumn("text", F.substring("text", 1, sample_bytes))
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    if not counts:
+        return {}
+    limits = [(lang, int((1 << 30) * min(1.0, 2 * sample_docs / n))) for lang, n in counts.items()]
+    few = rows.join(F.broadcast(labelled.sparkSession.createDataFrame(limits, "lang string, below long")), "lang").filter("rank < below")
+    place = Window.partitionBy("lang").orderBy("rank", "id")
+    few = few.withColumn("n", F.row_number().over(place)).filter(F.col("n") <= sample_docs)
+    # what stands before a text in its language's sample; a text that begins beyond the bound isn't needed
+    before = F.coalesce(F.sum(F.octet_length("text") + 1).over(place.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     samples: dict[str, bytes] = {}
-    for lang in sorted(counts):
-        limit = (1 << 30) * min(1.0, 2 * sample_docs / counts[lang])
-        own = rows.filter(F.col("lang") == lang).withColumn("rank", rank)
-        few = own.filter(F.col("rank") < int(limit)) if limit < 1 << 30 else own
-        # the text is cut to the bound here, where it is learned from; predictions read whole texts
-        found = few.orderBy("rank", "id").limit(sample_docs).select(F.substring("text", 1, sample_bytes).alias("text")).collect()
-        text = b"\n".join(r["text"].encode("utf-8", "surrogatepass") for r in found)[:sample_bytes]
-        if not text:
-            text = own.orderBy("rank", "id").select(F.substring("text", 1, sample_bytes).alias("text")).head()["text"].encode("utf-8", "surrogatepass")[:sample_bytes]
-        samples[lang] = text
-    return samples
+    for r in few.withColumn("before", before).filter(F.col("before") < sample_bytes).select("lang", "n", "text").orderBy("lang", "n").collect():
+        text = r["text"].encode("utf-8", "surrogatepass")
+        samples[r["lang"]] = samples[r["lang"]] + b"\n" + text if r["lang"] in samples else text
+    if lost := sorted(counts.keys() - samples.keys()):  # no id of a frequent language below its threshold
+        first = rows.filter(F.col("lang").isin(lost)).groupBy("lang").agg(F.min_by("text", F.struct("rank", "id")).alias("text"))
+        samples |= {r["lang"]: r["text"].encode("utf-8", "surrogatepass") for r in first.collect()}
+    return {lang: samples[lang][:sample_bytes] for lang in sorted(samples)}
 
 
 def _parser(samples: dict[str, bytes]) -> CrossParser:
@@ -191,8 +200,9 @@ def predict(df: DataFrame, samples: dict[str, bytes], id_col: str = "doc_id", te
 
     ``und`` with score 0 if the text is null, empty or has no letter, or if nothing was learned. The
     score lies between 0 and 1 and is the best language's share of closeness; with one language it is
-    1. A null id counts as held out. Repeated rows come out each, no rows give none; other columns,
-    language and source too, are not read.
+    1. A null id counts as held out. Texts of any length are parsed to their end, equal closeness goes to
+    the first language by name. Repeated rows come out each, no rows give none; other columns, language
+    and source too, are not read.
     """
     kind = df.schema[id_col].dataType.simpleString()
     shared = df.sparkSession.sparkContext.broadcast(samples)
@@ -203,11 +213,12 @@ def predict(df: DataFrame, samples: dict[str, bytes], id_col: str = "doc_id", te
             langs, scores = _decided(parser, batch.column("text"))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "held_out", "lang_pred", "score"])
 
-    return df.select(F.col(id_col).alias("doc_id"), held_out(id_col).alias("held_out"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {kind}, held_out boolean, lang_pred string, score double")
+    return df.select(F.col(id_col).alias("doc_id"), held_out(id_col).alias("held_out"), F.col(text_col).alias("text")).mapInArrow(lean(run), f"doc_id {kind}, held_out boolean, lang_pred string, score double")
 
 
 def keep_known(df: DataFrame, samples: dict[str, bytes], text_col: str = "text") -> DataFrame:
-    """The rows of `df` whose text is in one of the learned languages, that is, not ``und``."""
+    """The rows of `df` whose text is in one of the learned languages, that is, not ``und``: null and empty
+    texts and those without a letter go, repeated rows stay each. Columns of any name are handed on."""
     shared = df.sparkSession.sparkContext.broadcast(samples)
     at = df.columns.index(text_col)
 
@@ -216,7 +227,7 @@ def keep_known(df: DataFrame, samples: dict[str, bytes], text_col: str = "text")
         for batch in batches:
             yield batch.filter(pa.array([x != "und" for x in _decided(parser, batch.column(at))[0]], pa.bool_()))
 
-    return df.mapInArrow(run, df.schema)
+    return df.mapInArrow(lean(run), df.schema)
 
 
 def identify(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from .bpe import BYTE_LEVEL_WORDS, SPACE, byte_symbols, texts_in_groups
-from .common import written
+from .common import lean, written
 
 WINDOW = 1024
 #: Lengths that combinations of three are built from: the most frequent ones.
@@ -209,7 +209,7 @@ def _tokenised(df: DataFrame, path: str, window: int, id_col: str, text_col: str
                 tails.append((tail.astype("<u2") if tail.max(initial=0) < 1 << 16 else tail).tobytes())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(crcs, pa.list_(pa.int64())), pa.array(tails, pa.binary()), pa.array([part] * len(n), pa.int32()), pa.array(before, pa.int64()), pa.array(rank, pa.int64())], ["doc_id", "doc_tokens", "crcs", "tail", "part", "before", "rank"])
 
-    return df.selectExpr(f"`{id_col}` AS doc_id", f"`{text_col}` AS text").mapInArrow(run, f"doc_id {kind}, doc_tokens long, crcs array<long>, tail binary, part int, before long, rank long")
+    return df.selectExpr(f"`{id_col}` AS doc_id", f"`{text_col}` AS text").mapInArrow(lean(run), f"doc_id {kind}, doc_tokens long, crcs array<long>, tail binary, part int, before long, rank long")
 
 
 def pack(df: DataFrame, path: str, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
