@@ -3,6 +3,9 @@
 import html
 import re
 
+import pytest
+
+from tidebook.llm import html_main
 from tidebook.llm.html_main import Page, extract, host_paths, main_text
 
 DATA = "/root/testdata/sf0.01/pages.parquet"
@@ -46,7 +49,9 @@ def test_broken_and_empty():
     assert main_text("<article>5 < 6 &lt; 7 <a href='>'>z</a></article>") == "5 < 6 < 7 z"
 
 
-def test_votes_carry_odd_pages(spark):
+@pytest.mark.parametrize("most", [50_000, 1])
+def test_votes_carry_odd_pages(spark, monkeypatch, most):
+    monkeypatch.setattr(html_main, "BROADCAST", most)
     rows = [(i, "http://a.com/", f"<div class=c{i}><p>long enough text of the page {i}</p></div><div class=x><p>other</p></div>") for i in range(5)]
     # here the noise is longer, but the host's pages agree on the container
     rows.append((9, "http://A.com/9", "<div class=c9><p>short</p></div><div class=x><p>a very long text that isn't the main one at all, really</p></div>"))

@@ -5,8 +5,9 @@ Spark, for the generalised tag-class path of its best container, and per host th
 wins. Pages are then read again and the text below the winning path is extracted; a page that lacks it
 falls back on its own best container.
 
-Votes are counted before the shuffle. The winning paths are dealt out with a salt, so that a host with
-a third of all pages is as many tasks as any other rows.
+Votes are counted before the shuffle. The winning paths of the hosts with the most html, `BROADCAST`
+rows at most, are broadcast, so that their pages stay where they are read and no host is a task of its
+own; only pages of further hosts are dealt out by host.
 """
 
 from __future__ import annotations
@@ -20,9 +21,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import lean, written
 from .url_filter import url_host
 
-SALTS = 32
+#: Hosts whose paths are broadcast at most, and characters of the host and the path of each.
+BROADCAST, LONGEST = 50_000, 500
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template iframe textarea title svg math object select".split())
@@ -186,41 +189,49 @@ def main_text(source: str | None, path: str | None = None) -> str:
 
 
 def host_paths(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """host, path: the generalised path that most of a host's pages vote for. Ties go to the path with
-    the higher score, then the shorter, then the first by name."""
+    """host, path, size: the generalised path that most of a host's pages vote for, and the characters of
+    those pages. Ties go to the path with the higher score, then the shorter, then the first by name."""
 
     def votes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hosts, paths, scores = [], [], []
+            hosts, paths, scores, sizes = [], [], [], []
             for host, source in zip(batch.column("host"), batch.column("html"), strict=True):
-                page = Page(source.as_py() or "")
+                raw = source.as_py() or ""
+                page = Page(raw)
                 if (best := page.best()) is not None:
+                    sizes.append(len(raw))
                     hosts.append(host.as_py())
                     paths.append(best)
                     scores.append(page.scores()[best])
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(scores, pa.int64())], ["host", "path", "score"])
+            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(scores, pa.int64()), pa.array(sizes, pa.int64())], ["host", "path", "score", "size"])
 
-    cast = pages.select(url_host(F.coalesce(F.col(url_col), F.lit(""))).alias("host"), F.col(html_col).alias("html")).mapInArrow(votes, "host string, path string, score long")
-    counted = cast.groupBy("host", "path").agg(F.count("*").alias("votes"), F.sum("score").alias("score"))
-    return counted.groupBy("host").agg(F.min_by("path", F.struct(-F.col("votes"), -F.col("score"), F.length("path"), "path")).alias("path"))
+    rows = pages.select(url_host(F.coalesce(F.col(url_col), F.lit(""))).alias("host"), F.col(html_col).alias("html"))
+    counted = rows.mapInArrow(lean(votes), "host string, path string, score long, size long").groupBy("host", "path").agg(F.count("*").alias("votes"), F.sum("score").alias("score"), F.sum("size").alias("size"))
+    return counted.groupBy("host").agg(F.min_by("path", F.struct(-F.col("votes"), -F.col("score"), F.length("path"), "path")).alias("path"), F.sum("size").alias("size"))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """page_id, url, text, n_chars of each row of `pages`, from the whole html.
 
     Null or empty html, and pages without text, give an empty text; a null URL or one without a host
-    votes with others of that kind. Repeated rows come out each, and their votes count each. No rows
-    give no rows; other columns are not read.
+    votes with others of that kind. Repeated rows come out each, and their votes count each. Pages of any
+    length are read whole, one at a time. No rows give no rows; other columns are not read.
     """
     kind = pages.schema[id_col].dataType.simpleString()
-    winners = host_paths(pages, url_col, html_col).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    winners = written(host_paths(pages, url_col, html_col), "paths")
     own = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), url_host(F.coalesce(F.col(url_col), F.lit(""))).alias("host"))
-    own = own.withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
+    short = F.length("host") + F.length("path") <= LONGEST
+    hosts = winners.agg(F.count("*").alias("n"), F.count_if(short).alias("short")).head()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [main_text(source.as_py(), path.as_py()) for source, path in zip(batch.column("html"), batch.column("path"), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([*map(len, texts)], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
-    joined = own.join(winners, ["host", "salt"], "left").select("page_id", "url", "html", "path")
-    return joined.mapInArrow(run, f"page_id {kind}, url string, text string, n_chars long")
+    if hosts["n"] == hosts["short"] <= BROADCAST:
+        joined = own.join(F.broadcast(winners.select("host", "path")), "host", "left")
+    else:
+        great = written(winners.filter(short).orderBy(F.desc("size"), "host").limit(BROADCAST).select("host", "path"), "great")
+        rest = own.join(F.broadcast(great.select("host")), "host", "left_anti")
+        joined = own.join(F.broadcast(great), "host").unionByName(rest.join(winners.select("host", "path"), "host", "left"))
+    return joined.select("page_id", "url", "html", "path").mapInArrow(lean(run), f"page_id {kind}, url string, text string, n_chars long")

@@ -4,7 +4,7 @@ A revisit is joined as of its time with the latest earlier full response of its
 validators are compared, and the headers that a not-modified answer may renew are merged into the
 stored ones. The as-of join is a window of (URL, slice of time): what each slice ends with is
 aggregated first and carried into the following ones, so that one URL with a great many captures is
-many tasks.
+many tasks. The window hands the response's headers on, so no join gathers a popular response's revisits.
 """
 
 from __future__ import annotations
@@ -12,11 +12,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import scratch, written
 from .url_filter import url_host
 
-#: Slices of time that a URL's captures may fall into.
-TIME_SLICES = 256
+#: Slices of time with about as many captures each, and parts of equal width of each slice.
+TIME_SLICES, PARTS = 256, 64
 
 # Fields that a not-modified answer doesn't renew (they describe the stored body or one hop).
 NOT_RENEWED = ("connection", "content-encoding", "content-length", "content-range", "content-type", "keep-alive", "proxy-authenticate", "proxy-connection", "te", "trailer", "transfer-encoding", "upgrade")
@@ -45,28 +45,43 @@ def resolve_revisits(captures: DataFrame) -> DataFrame:
 
     headers are the response's, renewed from the revisit's but for `NOT_RENEWED`, when resolved; else
     the revisit's own. Null headers are no headers. Rows with a null url, ts or kind, or another kind,
-    give nothing and serve nothing. Repeated revisits come out each. No rows give no rows.
+    give nothing and serve nothing. Repeated revisits come out each; of repeated responses with different
+    headers the last by headers counts. No rows give no rows; URLs and headers may be of any length,
+    other columns are not read.
     """
-    rows = captures.select("capture_id", canonical_url(F.col("url")).alias("url_key"), "ts", "kind", F.coalesce("headers", F.expr("map()").cast("map<string,string>")).alias("headers"))
-    rows = written(rows.filter("url_key IS NOT NULL AND ts IS NOT NULL AND kind IN ('response', 'revisit')"), "captures")
-    ends = rows.agg(F.min("ts").alias("a"), F.max("ts").alias("z")).head()
-    low, step = ends["a"] or 0, max(1, -(-((ends["z"] or 0) - (ends["a"] or 0) + 1) // TIME_SLICES))
-    rows = rows.withColumn("slice", F.floor((F.col("ts") - F.lit(low)) / F.lit(step)).cast("int"))
-    stored = F.when(F.col("kind") == "response", F.struct("ts", "capture_id"))
-    # one row for each URL and slice at most, a URL has no more than TIME_SLICES
-    ends_with = rows.filter("kind = 'response'").groupBy("url_key", "slice").agg(F.max(F.struct("ts", "capture_id")).alias("last"))
-    slices = rows.select("url_key", "slice").distinct().join(ends_with, ["url_key", "slice"], "left")
+    entries = F.array_sort(F.map_entries(F.coalesce("headers", F.expr("map()").cast("map<string,string>"))))
+    rows = captures.select("capture_id", canonical_url(F.col("url")).alias("url_key"), "ts", "kind", entries.alias("headers"))
+    rows = rows.filter("url_key IS NOT NULL AND ts IS NOT NULL AND kind IN ('response', 'revisit')")
+    with scratch():
+        return written(_judged(written(rows, "captures")), "revisits", keep=True)
+
+
+def _sliced(rows: DataFrame) -> DataFrame:
+    """Adds slice: intervals of time in order, of equal counts and then of equal width. A URL with a great
+    share of all captures has that share of the slices too; a stray time makes a slice of its own."""
+    ends = rows.agg(F.percentile_approx("ts", [i / TIME_SLICES for i in range(TIME_SLICES + 1)], 10_000).alias("ends")).head()["ends"]
+    if not ends:
+        return rows.withColumn("slice", F.lit(0).cast("long"))
+    ends = sorted(set(ends))
+    limits = F.array(*[F.lit(x).cast("long") for x in ends])
+    place = F.size(F.filter(limits, lambda x: x <= F.col("ts"))).cast("long")  # 0 before the first, len(ends) from the last on
+    low, high = F.get(limits, F.col("place").cast("int") - 1), F.get(limits, F.col("place").cast("int"))
+    part = F.coalesce(F.floor((F.col("ts") - low) / (high - low) * PARTS), F.lit(0).cast("long"))
+    return rows.withColumn("place", place).withColumn("slice", F.col("place") * PARTS + F.least(part, F.lit(PARTS - 1))).drop("place")
+
+
+def _judged(rows: DataFrame) -> DataFrame:
+    rows = _sliced(rows)
+    stored = F.when(F.col("kind") == "response", F.struct("ts", "capture_id", "headers"))
+    # one row for each URL and slice at most
+    slices = rows.groupBy("url_key", "slice").agg(F.max(stored).alias("last"))
     before = Window.partitionBy("url_key").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     carried = written(slices.select("url_key", "slice", F.max("last").over(before).alias("carried")), "carried")
     # of equal times only earlier ones count: a range that ends below the row's own time
     earlier = Window.partitionBy("url_key", "slice").orderBy("ts").rangeBetween(Window.unboundedPreceding, -1)
-    found = rows.select("capture_id", "url_key", "slice", "ts", "kind", F.max(stored).over(earlier).alias("near")).filter("kind = 'revisit'")
-    found = found.join(carried, ["url_key", "slice"]).select("capture_id", "url_key", "ts", F.coalesce("near", "carried").alias("source"))
-    own = rows.filter("kind = 'revisit'").select(F.col("capture_id").alias("c"), F.col("url_key").alias("u"), F.col("ts").alias("t"), F.col("headers").alias("sent"))
-    answers = rows.filter("kind = 'response'").select(F.col("url_key").alias("ru"), F.col("ts").alias("rt"), F.col("capture_id").alias("rc"), F.col("headers").alias("kept")).dropDuplicates(["ru", "rt", "rc"])
-    # repeated revisits resolve alike: one row of `found` for each capture and time
-    pairs = own.join(found.dropDuplicates(["capture_id", "url_key", "ts"]), (F.col("c").eqNullSafe(F.col("capture_id"))) & (F.col("u") == F.col("url_key")) & (F.col("t") == F.col("ts")))
-    pairs = pairs.select("capture_id", "url_key", "source", "sent").join(answers, (F.col("url_key") == F.col("ru")) & (F.col("source.ts") == F.col("rt")) & F.col("source.capture_id").eqNullSafe(F.col("rc")), "left")
+    found = rows.withColumn("near", F.max(stored).over(earlier)).filter("kind = 'revisit'").join(carried, ["url_key", "slice"])
+    source = F.coalesce("near", "carried")
+    pairs = found.select("capture_id", "url_key", source.alias("source"), F.map_from_entries("headers").alias("sent"), F.map_from_entries(source["headers"]).alias("kept"))
     etag = lambda m: F.regexp_replace(F.get(F.array(F.col(m)["etag"]), F.lit(0)), r"^W/", "")
     sent, kept = etag("sent"), etag("kept")
     since, changed = F.col("sent")["last-modified"], F.col("kept")["last-modified"]
