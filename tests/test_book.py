@@ -72,12 +72,13 @@ def replay(events, levels, interval):
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-def test_states_and_snapshots(spark, seed):
+def test_states_and_snapshots(spark, monkeypatch, seed):
+    monkeypatch.setattr(book, "RANGE", 100)  # states are carried over many ranges
     events, levels = feed(seed)
     e, lv = spark.createDataFrame(events, EVENTS), spark.createDataFrame(levels, LEVELS)
     states, emitted, pruned = replay(events, levels, 1000)
     rows = book.annotate(e)
-    got = book.with_metrics(book.state_at(book.emission_points(rows), book.level_intervals(rows, lv))).collect()
+    got = book.with_metrics(book.states(rows, lv).filter("point")).collect()
     assert {r["sequence"]: (r["book_bid"], r["book_ask"], r["bid_depth_1"], r["ask_depth_1"], r["bid_depth_5"], r["ask_depth_5"]) for r in got} == states
     assert sorted((r["sequence"], r["reason"]) for r in book.snapshots(e, lv, 1000).collect()) == emitted
     counters = book.replay_counters(e, lv, 1000).head()
@@ -90,3 +91,20 @@ def test_gaps_and_settings(spark):
     assert [tuple(r) for r in book.gap_stats(e).collect()] == [("A", 2, 159_999)]
     with pytest.raises(ValueError, match="interval"):
         book.snapshots(e, e, -1)
+
+
+def test_markouts_follow_the_processing_order(spark):
+    """Against each trade's search through the later events; times go back now and then."""
+    rnd = random.Random(6)
+    rows, now = [], 0
+    for seq in range(1, 600):
+        now += rnd.randint(0, 40)
+        rows.append((seq, rnd.choice("AB"), None if rnd.random() < 0.05 else now - rnd.choice([0, 0, 0, 150]), rnd.choice(["BUY", "SELL"]), round(rnd.random(), 2), 2.0, rnd.choice([None, round(rnd.random(), 2)])))
+    df = spark.createDataFrame(rows, "sequence long, asset_id string, exchange_timestamp_ms long, side string, price double, size double, mid double")
+    trades = [r for r in rows if r[0] % 3 == 0]
+    want = {}
+    for seq, asset, at, side, price, size, _ in trades:
+        mids = [m for s, a, t, *_, m in rows if a == asset and s > seq and m is not None and t is not None and at is not None and t >= at + 100]
+        want[seq] = (mids[0], pytest.approx((1 if side == "BUY" else -1) * (mids[0] - price) * size)) if mids else (None, None)
+    got = book.markouts(df.filter("sequence % 3 = 0"), df, 100).collect()
+    assert len(got) == len(trades) and {r["sequence"]: (r["markout_mid"], r["markout_pnl"]) for r in got} == want

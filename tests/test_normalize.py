@@ -12,23 +12,24 @@ from tidebook.operators.normalize import invalid_items, normalize
 from tidebook.sources.archives import parsed, read_lines, resolve_inputs
 
 
-def test_pipeline_archive(spark, tmp_path):
-    path = f.write(tmp_path / "in/a.jsonl.gz", f.PIPELINE)
-    t = normalize(spark, [path])
+def test_scenario(spark, tmp_path):
+    t = normalize(spark, [f.write(tmp_path / "in/rain.jsonl.gz", f.SCENARIO)])
     events = t.events.orderBy("sequence").collect()
-    assert [e["sequence"] for e in events] == [1, 2, 3, 4, 5, 6]
-    assert [e["event_type"] for e in events] == ["rewarded_market_discovery", "book", "price_change", "price_change", "last_trade_price", "last_trade_price"]
-    assert [(e["change_index"], e["change_count"]) for e in events[2:4]] == [(0, 2), (1, 2)]
-    assert [(e["side"], e["price"], e["size"]) for e in events[2:]] == [("SELL", 0.51, 15), ("BUY", 0.48, 5), ("BUY", 0.51, 25), ("SELL", 0.49, 25)]
-    assert events[1]["tick_size"] == 0.01 and events[1]["book_hash"] == "h" and events[1]["exchange_timestamp_ms"] == 1000 and events[1]["capture_latency_ms"] == 0.5
-    assert events[4]["transaction_hash"] == "0x1" and events[4]["fee_rate_bps"] == 0 and events[4]["best_bid"] is None and events[4]["symbol"] == ""
-    assert json.loads(events[2]["payload_json"]) == f.CHANGE["price_changes"][0] | {"event_type": "price_change", "market": "m1", "timestamp": "1200"}
-    assert [tuple(r) for r in t.levels.select("sequence", "side", "price", "size", "source_rank").collect()] == [(2, "BUY", 0.49, 20.0, 0), (2, "SELL", 0.51, 20.0, 0)]
+    assert [e["sequence"] for e in events] == [*range(1, 11)] and [e["event_type"] for e in events] == f.TYPES
+    assert [(e["asset_id"], e["change_index"], e["change_count"]) for e in events[3:6]] == [("W", 0, 2), ("W", 1, 2), ("D", 0, 1)]
+    assert [(e["asset_id"], e["side"], e["price"], e["size"]) for e in events[3:9]] == [("W", "BUY", 0.29, 0), ("W", "SELL", 0.33, 12), ("D", "BUY", 0.66, 4), ("W", "BUY", 0.33, 7), ("W", "BUY", 0.34, 1), ("W", "SELL", 0.30, 46)]
+    assert (events[1]["tick_size"], events[1]["book_hash"], events[1]["exchange_timestamp_ms"], events[1]["capture_latency_ms"]) == (0.01, "w1", 10_000, 3)
+    assert (events[6]["transaction_hash"], events[6]["fee_rate_bps"], events[6]["best_bid"], events[6]["symbol"], events[6]["connection_id"]) == ("hash-7", 20, None, "", "feed-7")
+    assert json.loads(events[4]["payload_json"]) == f.CHANGES["price_changes"][1] | {"event_type": "price_change", "market": "rain", "timestamp": "12000"}
+    assert sorted(tuple(r) for r in t.levels.select("sequence", "side", "source_rank", "price", "size").collect()) == [
+        (2, "BUY", 0, 0.30, 40), (2, "BUY", 1, 0.29, 10), (2, "SELL", 0, 0.34, 8), (2, "SELL", 1, 0.36, 5), (3, "BUY", 0, 0.65, 9), (3, "SELL", 0, 0.70, 9), (10, "BUY", 0, 0.32, 3), (10, "SELL", 0, 0.36, 3),
+    ]
     markets = t.markets.orderBy("token_index").collect()
-    assert [(m["token_id"], m["outcome"], m["token_price"], m["daily_reward"], m["volume_24hr"], m["is_selected"]) for m in markets] == [("A", "Yes", 0.5, 10.0, 1000.5, True), ("B", "No", 0.5, 10.0, 1000.5, True)]
+    assert [(m["token_id"], m["outcome"], m["token_price"], m["daily_reward"], m["volume_24hr"], m["is_selected"]) for m in markets] == [("W", "Wet", 0.31, 48.0, 250.25, True), ("D", "Dry", 0.69, 48.0, 250.25, True)]
     report = quality.report(t.events, t.records, t.levels, t.markets).head()
-    assert (report["raw_rows"], report["invalid_json_rows"], report["event_rows"], report["level_rows"], report["market_rows"]) == (6, 1, 6, 2, 2)
-    assert report["event_types"]["price_change"] == 2 and report["duplicates"] == 0
+    assert (report["raw_rows"], report["invalid_json_rows"], report["invalid_record_rows"], report["event_rows"], report["level_rows"], report["market_rows"]) == (9, 1, 0, 10, 8, 2)
+    assert report["event_types"]["price_change"] == 3 and report["duplicates"] == 0 and report["timestamp_regressions"] == 0
+    assert report["input_files"] == 1 and report["input_bytes"] == (tmp_path / "in/rain.jsonl.gz").stat().st_size
 
 
 def test_other_records(spark, tmp_path):
@@ -51,6 +52,8 @@ def test_other_records(spark, tmp_path):
     flags = t.records.orderBy("source_line").collect()
     assert [(r["invalid_json"], r["not_object"]) for r in flags[8:]] == [(True, False), (False, True), (True, False), (False, False)]
     assert t.records.filter("record IS NOT NULL").agg(F.sum(invalid_items(t.records))).head()[0] == 1 + 2 + 1 + 1
+    # a line that isn't an object counts too
+    assert quality.report(t.events, t.records, t.levels, t.markets).head()["invalid_record_rows"] == 1 + 2 + 1 + 1 + 1
 
 
 def test_lines_are_numbered_over_splits(spark, tmp_path):

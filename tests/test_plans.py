@@ -21,24 +21,24 @@ SF = "/root/testdata/sf0.001"
 def test_incremental(spark, tmp_path):
     raw, out = tmp_path / "raw", str(tmp_path / "out")
     first = raw / "market_ws/2026/07/31/market_ws-20260731T010000Z.jsonl.gz"
-    f.write(first, f.PIPELINE)
+    f.write(first, f.SCENARIO)
     f.write(raw / "rtds/2026/08/01/rtds-20260801T010100Z.jsonl", [{"record_type": "rtds", "payload": {"topic": "t"}}], extra=())
     done = incremental_convert(spark, str(raw), out)
-    assert [k.split("/")[0] for k in done["processed"]] == ["market_ws", "rtds"] and done["totals"]["events"] == 7 and done["totals"]["event_types"]["price_change"] == 2
+    assert [k.split("/")[0] for k in done["processed"]] == ["market_ws", "rtds"] and done["totals"]["events"] == 11 and done["totals"]["event_types"]["price_change"] == 3
     again = incremental_convert(spark, str(raw), out)
     assert not again["processed"] and len(again["skipped"]) == 2 and again["totals"] == done["totals"]
     rows = read_table(spark, out, "events").select("sequence", F.col("date").cast("string").alias("date")).orderBy("sequence").collect()
-    assert [r["sequence"] for r in rows] == [1, 2, 3, 4, 5, 6, 7] and {r["date"] for r in rows} == {"2026-07-31", "2026-08-01"}
+    assert [r["sequence"] for r in rows] == [*range(1, 12)] and {r["date"] for r in rows} == {"2026-07-31", "2026-08-01"}
     folder = Folder(spark, out)
     manifest = load_manifest(folder)
     key = next(k for k in manifest["archives"] if k.startswith("rtds"))
     manifest["archives"][key]["status"] = "processing"  # as a run leaves it that dies here
     folder.replace("manifest.json", json.dumps(manifest))
     assert incremental_convert(spark, str(raw), out)["processed"] == [key]
-    assert load_manifest(folder)["archives"][key]["sequence_start"] == 6 and read_table(spark, out, "events").count() == 7
+    assert load_manifest(folder)["archives"][key]["sequence_start"] == 10 and read_table(spark, out, "events").count() == 11
     with folder.lock(), pytest.raises(RuntimeError, match="another run"):
         incremental_convert(spark, str(raw), out)
-    f.write(first, f.PIPELINE[:2])
+    f.write(first, f.SCENARIO[:2])
     with pytest.raises(ValueError, match="changed after processing"):
         incremental_convert(spark, str(raw), out)
     with pytest.raises(ValueError, match="outside"):
@@ -64,8 +64,7 @@ def test_stream_equals_batch(spark, tmp_path):
         part.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
         replay.run_book_stream(spark, str(tmp_path / "in"), target, checkpoint)
     got = {r["sequence"]: (r["book_bid"], r["book_ask"]) for r in spark.read.parquet(target).collect()}
-    annotated = book.annotate(e)
-    want = book.with_metrics(book.state_at(book.emission_points(annotated), book.level_intervals(annotated, lv))).collect()
+    want = book.book_states(e, lv, 0).collect()
     assert got == {r["sequence"]: (r["book_bid"], r["book_ask"]) for r in want}
 
 

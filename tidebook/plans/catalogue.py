@@ -272,19 +272,20 @@ def choose_asset(spark, sf_dir):
     return discovery.choose_asset(market_events(spark, sf_dir))
 
 
-@query("""WITH c AS (SELECT DISTINCT 'T' || (l_partkey % 900) AS a FROM lineitem WHERE l_returnflag = 'R' AND l_linenumber = 1), d AS (SELECT DISTINCT 'T' || (l_partkey % 900) AS a FROM lineitem WHERE l_returnflag = 'A' AND l_linenumber = 2)
+@query("""WITH c AS (SELECT DISTINCT 'T' || o_custkey AS a FROM orders WHERE o_orderstatus = 'F'), d AS (SELECT DISTINCT 'T' || o_custkey AS a FROM orders WHERE o_orderstatus = 'O')
   SELECT a AS asset_id, 'unsubscribe' AS action FROM (FROM c EXCEPT FROM d) UNION ALL SELECT a, 'subscribe' FROM (FROM d EXCEPT FROM c)""")
 def subscription_diff(spark, sf_dir):
-    part = table(spark, sf_dir, "lineitem").withColumn("asset_id", F.concat(F.lit("T"), (F.col("l_partkey") % 900).cast("string")))
-    return discovery.subscription_diff(part.filter("l_returnflag = 'R' AND l_linenumber = 1"), part.filter("l_returnflag = 'A' AND l_linenumber = 2"))
+    """From the customers with finished orders to those with open ones."""
+    orders = table(spark, sf_dir, "orders").withColumn("asset_id", F.concat(F.lit("T"), F.col("o_custkey").cast("string")))
+    return discovery.subscription_diff(orders.filter("o_orderstatus = 'F'"), orders.filter("o_orderstatus = 'O'"))
 
 
-@query("""WITH p AS (SELECT p_partkey, p_retailprice FROM part), e AS (SELECT l_partkey, sum(l_quantity) AS sold FROM lineitem WHERE l_partkey % 4 <> 0 GROUP BY 1), s AS (SELECT l_partkey, min(l_suppkey) AS first_supplier FROM lineitem WHERE l_partkey % 6 <> 0 GROUP BY 1)
+@query("""WITH p AS (SELECT p_partkey, p_retailprice FROM part), e AS (SELECT l_partkey, sum(l_quantity) AS sold FROM lineitem WHERE l_quantity > 45 GROUP BY 1), s AS (SELECT l_partkey, min(l_suppkey) AS first_supplier FROM lineitem WHERE l_discount > 0.08 GROUP BY 1)
   SELECT p_partkey, sold, first_supplier, concat_ws(',', CASE WHEN sold IS NULL THEN 'sales' END, CASE WHEN first_supplier IS NULL THEN 'suppliers' END) AS errors FROM p LEFT JOIN e ON e.l_partkey = p_partkey LEFT JOIN s ON s.l_partkey = p_partkey""")
 def enrich_markets(spark, sf_dir):
     line = table(spark, sf_dir, "lineitem").withColumnRenamed("l_partkey", "p_partkey")
-    sales = line.filter("p_partkey % 4 <> 0").groupBy("p_partkey").agg(F.sum("l_quantity").alias("sold"))
-    suppliers = line.filter("p_partkey % 6 <> 0").groupBy("p_partkey").agg(F.min("l_suppkey").alias("first_supplier"))
+    sales = line.filter("l_quantity > 45").groupBy("p_partkey").agg(F.sum("l_quantity").alias("sold"))
+    suppliers = line.filter("l_discount > 0.08").groupBy("p_partkey").agg(F.min("l_suppkey").alias("first_supplier"))
     out = discovery.enrich(table(spark, sf_dir, "part").select("p_partkey"), {"sales": (sales, "p_partkey"), "suppliers": (suppliers, "p_partkey")})
     return out.select("p_partkey", "sales.sold", "suppliers.first_supplier", F.concat_ws(",", "enrichment_errors").alias("errors"))
 
@@ -339,33 +340,29 @@ def book_epochs(spark, sf_dir):
     return book.annotate(market_events(spark, sf_dir)).select("sequence", F.col("epoch").cast("long").alias("epoch"))
 
 
-def _state(spark, sf_dir):
-    e, lv = _feed(spark, sf_dir)
-    rows = book.annotate(e)
-    return book.with_metrics(book.state_at(book.emission_points(rows), book.level_intervals(rows, lv)))
+def _state(spark, sf_dir, top=20, keep=()):
+    return book.book_states(*_feed(spark, sf_dir), top, keep)
 
 
 @query(f"WITH {STATE_SQL} SELECT sequence, asset_id, book_bid, book_ask, (book_bid + book_ask) / 2 AS mid, book_ask - book_bid AS spread, coalesce(book_bid >= book_ask, FALSE) AS crossed FROM st")
 def book_state_best(spark, sf_dir):
-    return _state(spark, sf_dir).select("sequence", "asset_id", "book_bid", "book_ask", "mid", "spread", "crossed")
+    return book.with_prices(_state(spark, sf_dir, 0)).select("sequence", "asset_id", "book_bid", "book_ask", "mid", "spread", "crossed")
 
 
 @query(f"WITH {STATE_SQL} SELECT sequence, bid_depth_1, ask_depth_1, bid_depth_5, ask_depth_5, bid_depth_10, ask_depth_10 FROM st")
 def book_depth(spark, sf_dir):
-    return _state(spark, sf_dir).select("sequence", *[f"{s}_depth_{n}" for n in book.DEPTHS for s in ("bid", "ask")])
+    return book.with_metrics(_state(spark, sf_dir, 10)).select("sequence", *[f"{s}_depth_{n}" for n in book.DEPTHS for s in ("bid", "ask")])
 
 
 @query(f"WITH {STATE_SQL} SELECT sequence, CASE WHEN bid_depth_5 + ask_depth_5 > 0 THEN (bid_depth_5 - ask_depth_5) / (bid_depth_5 + ask_depth_5) END AS imbalance_5 FROM st")
 def book_imbalance(spark, sf_dir):
-    return _state(spark, sf_dir).select("sequence", "imbalance_5")
+    return book.with_metrics(_state(spark, sf_dir, 10)).select("sequence", "imbalance_5")
 
 
 @query(f"""WITH {STATE_SQL}, t AS (SELECT sequence, string_agg('[' || price || ',' || size || ']', ',' ORDER BY rn) FILTER (side = 'BUY') AS b, string_agg('[' || price || ',' || size || ']', ',' ORDER BY rn) FILTER (side = 'SELL') AS s FROM at_points WHERE rn <= 3 GROUP BY 1)
   SELECT sequence, '[' || coalesce(b, '') || ']' AS bids_json, '[' || coalesce(s, '') || ']' AS asks_json FROM pts LEFT JOIN t USING (sequence)""")
 def top_levels_json(spark, sf_dir):
-    e, lv = _feed(spark, sf_dir)
-    rows = book.annotate(e)
-    return book.with_metrics(book.state_at(book.emission_points(rows), book.level_intervals(rows, lv)), top=3).select("sequence", "bids_json", "asks_json")
+    return book.with_metrics(_state(spark, sf_dir, 3), top=3).select("sequence", "bids_json", "asks_json")
 
 
 _THROTTLED = STATE_SQL.replace("WITH ", "") + """,
@@ -386,7 +383,7 @@ def book_snapshots_throttled(spark, sf_dir):
 @query(f"WITH {ANNOTATED_SQL} SELECT cut AS sequence, count(*) AS levels_pruned FROM live WHERE cut IS NOT NULL GROUP BY 1")
 def pruned_levels(spark, sf_dir):
     e, lv = _feed(spark, sf_dir)
-    return book.level_intervals(book.annotate(e), lv).filter("cut IS NOT NULL").groupBy(F.col("cut").alias("sequence")).agg(F.count("*").alias("levels_pruned"))
+    return book.states(book.annotate(e), lv, 0).filter("pruned > 0").select("sequence", F.col("pruned").cast("long").alias("levels_pruned"))
 
 
 _SEEN = ANNOTATED_SQL + """,
@@ -442,7 +439,7 @@ def reward_two_sided(spark, sf_dir):
   SELECT sequence, least(greatest(round(floor((book_bid - (1 + skew) * tick + 1e-12) / tick) * tick, 10), tick), 1 - tick) AS bid_price,
          least(greatest(round(ceil((book_ask + (1 - skew) * tick - 1e-12) / tick) * tick, 10), tick), 1 - tick) AS ask_price FROM q""")
 def quote_prices(spark, sf_dir):
-    s = _state(spark, sf_dir).filter("book_bid < book_ask")
+    s = _state(spark, sf_dir, 0, ("tick_state", "v")).filter("book_bid < book_ask")
     tick = F.coalesce(F.nullif("tick_state", F.lit(0.0)), F.least(F.greatest(F.col("book_ask") - F.col("book_bid"), F.lit(0.001)), F.lit(0.01)))
     skew = m.inventory_skew((F.col("v") % 200).cast("double"), 0, 200, 25, 2)
     s = s.withColumns({"tick": tick, "skew": skew})
@@ -452,20 +449,19 @@ def quote_prices(spark, sf_dir):
     return s.select("sequence", m.clamp(bid, t).alias("bid_price"), m.clamp(ask, t).alias("ask_price"))
 
 
-@query(f"""WITH {STATE_SQL}, mids AS (SELECT asset_id, sequence AS ms, exchange_timestamp_ms AS mt, (book_bid + book_ask) / 2 AS mid FROM st JOIN pts USING (sequence, asset_id) WHERE book_bid IS NOT NULL AND book_ask IS NOT NULL),
-  tr AS (SELECT sequence, asset_id, side, price, size, exchange_timestamp_ms + 60000 AS due FROM m WHERE event_type = 'last_trade_price' AND size > 0),
-  j AS (SELECT tr.*, arg_min(mid, ms) AS mid FROM tr LEFT JOIN mids ON mids.asset_id = tr.asset_id AND mt >= due GROUP BY ALL)
+_LATE = "CASE WHEN k % 13 = 0 THEN 90000 ELSE 0 END"
+
+
+@query(f"""WITH {STATE_SQL}, mids AS (SELECT asset_id, sequence AS ms, exchange_timestamp_ms - {_LATE} AS mt, (book_bid + book_ask) / 2 AS mid FROM st JOIN pts USING (sequence, asset_id) WHERE book_bid IS NOT NULL AND book_ask IS NOT NULL),
+  tr AS (SELECT sequence, asset_id, side, price, size, exchange_timestamp_ms - {_LATE} + 60000 AS due FROM m WHERE event_type = 'last_trade_price' AND size > 0),
+  j AS (SELECT tr.*, arg_min(mid, ms) AS mid FROM tr LEFT JOIN mids ON mids.asset_id = tr.asset_id AND mt >= due AND ms > sequence GROUP BY ALL)
   SELECT sequence, mid AS markout_mid, CASE WHEN side = 'BUY' THEN (mid - price) * size ELSE (price - mid) * size END AS markout_pnl FROM j""")
 def markout_asof(spark, sf_dir):
-    """Each trade with the first mid price at least a minute later: a forward as-of join as a window
-    over both, from the latest back."""
-    trades = market_events(spark, sf_dir).filter("event_type = 'last_trade_price' AND size > 0").select("sequence", "asset_id", "side", "price", "size", (F.col("exchange_timestamp_ms") + 60_000).alias("at"), F.lit(None).cast("double").alias("mid"), F.lit(0).alias("is_mid"))
-    mids = _state(spark, sf_dir).filter("mid IS NOT NULL").select("sequence", "asset_id", F.lit(None).cast("string").alias("side"), F.lit(None).cast("double").alias("price"), F.lit(None).cast("double").alias("size"), F.col("exchange_timestamp_ms").alias("at"), "mid", F.lit(1).alias("is_mid"))
-    # of the mids from `at` on the one with the smallest sequence: times never go back here, so the next in order
-    later = Window.partitionBy("asset_id").orderBy("at", "is_mid", "sequence").rowsBetween(0, Window.unboundedFollowing)
-    joined = trades.unionByName(mids).withColumn("markout_mid", F.first("mid", ignorenulls=True).over(later)).filter("is_mid = 0")
-    gain = F.when(F.col("side") == "BUY", F.col("markout_mid") - F.col("price")).otherwise(F.col("price") - F.col("markout_mid"))
-    return joined.select("sequence", "markout_mid", (gain * F.col("size")).alias("markout_pnl"))
+    """Each trade with the first mid price processed a minute later or more, with some times that go back."""
+    e, lv = _feed(spark, sf_dir)
+    e = e.withColumn("exchange_timestamp_ms", F.col("exchange_timestamp_ms") - F.when(F.col("k") % 13 == 0, 90_000).otherwise(0))
+    mids = book.with_prices(book.book_states(e, lv, 0, ("exchange_timestamp_ms",)))
+    return book.markouts(e.filter("event_type = 'last_trade_price' AND size > 0"), mids)
 
 
 @query("""WITH p AS (SELECT user_id, value, max(value) OVER (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS peak FROM events) SELECT user_id, max(peak - value) AS max_drawdown FROM p GROUP BY 1""")
