@@ -2,6 +2,7 @@
 
 import json
 import os
+from threading import Event
 
 import duckdb
 import fixtures as f
@@ -12,8 +13,11 @@ import __spark_entry__
 from tidebook.operators import book
 from tidebook.plans import adapter, catalogue
 from tidebook.plans.incremental import Folder, incremental_convert, load_manifest, read_table
+from tidebook.functions import coerce
+from tidebook.operators import discovery
 from tidebook.sources import feeds, rest, writers
-from tidebook.streaming import replay
+from tidebook.sources.archives import common_root, resolve_inputs
+from tidebook.streaming import loops, replay
 
 SF = "/root/testdata/sf0.001"
 
@@ -103,9 +107,91 @@ def test_feed_records(spark):
     assert got[0]["payload"] == {"a": 1} and got[3]["control_event"] == "pong"
     reader = feeds.FeedReader({"connect": "test_plans:frames_from"})
     rows, end = reader.read(reader.initialOffset())
-    assert [r[3] for r in rows] == ["frame", "pong"] and end == {"read": 2} and [r[0] for r in reader.readBetweenOffsets({"read": 1}, end)] == [1]
+    assert [r[3] for r in rows] == ["connected", "frame", "pong"] and end == {"read": 2} and [r[0] for r in reader.readBetweenOffsets({"read": 1}, end)] == [1]
     assert [feeds.next_wait(1), feeds.next_wait(40), feeds.next_wait(40, connected_for=31)] == [2, 60, 1]
-    assert feeds.health(None, True, 0, 100)["reason"] == "no message yet" and feeds.health(99, True, 0, 100)["healthy"]
+
+
+SENT: list[str] = []
+WANTED = ["b", "a"]
+DOWN: list[bool] = []
+
+
+def wanted():
+    return WANTED
+
+
+def frames_or_failure(read):
+    if DOWN:
+        raise OSError("down")
+    return ['{"a": 1}'][read:]
+
+
+def test_feed_keeps_up(monkeypatch):
+    reader = feeds.FeedReader({"connect": "test_plans:frames_or_failure", "assets": "test_plans:wanted", "ping_seconds": "5", "stale_seconds": "30"} | {"send": "test_plans:sent"})
+    now = [100.0]
+    reader.clock = lambda: now[0]
+    reader.heard = 100.0
+    kinds = lambda at: [r[3] for r in reader.read({"read": at})[0]]
+    assert kinds(0) == ["subscription_update", "connected", "frame"]
+    assert SENT == ['{"assets_ids":["a","b"],"operation":"subscribe","custom_feature_enabled":true}', "PING"] and reader.subscription.revision == 1
+    WANTED[:] = ["b", "c"]
+    now[0] += 6
+    assert kinds(1) == ["subscription_update"] and SENT[2:] == ['{"assets_ids":["a"],"operation":"unsubscribe"}', '{"assets_ids":["c"],"operation":"subscribe","custom_feature_enabled":true}', "PING"]
+    DOWN.append(True)
+    now[0] += 1
+    assert kinds(1) == ["connection_error"] and kinds(1) == []  # it waits about a second
+    now[0] += 1.2
+    assert kinds(1) == ["subscription_update", "connection_error"] and 2 <= reader.blocked_until - now[0] <= 2.2
+    DOWN.clear()
+    now[0] += 2.3
+    assert kinds(1) == ["subscription_update", "connected"]
+    now[0] += 25
+    assert kinds(1) == ["stale"] and kinds(1) == ["subscription_update", "connected"]
+
+
+def sent(text):
+    SENT.append(text)
+
+
+def test_loops():
+    stop, waits, told = Event(), [], []
+
+    def step():
+        if len(waits) < 3:
+            raise OSError("down")
+
+    def wait(seconds):
+        waits.append(seconds)
+        if len(waits) == 6:
+            stop.set()
+
+    assert loops.repeat(step, 900, stop, told.append, wait) == 3
+    assert waits == [10, 20, 40, 900, 900, 900] and len(told) == 3
+    assert json.loads(loops.error_record("discovery", told[0]))["record_type"] == "discovery_error"
+
+
+def test_lock_of_a_dead_run(spark, tmp_path):
+    folder = Folder(spark, str(tmp_path))
+    with folder.lock(lease_seconds=-1) as renew:  # a lease that has ended already
+        with folder.lock():
+            with pytest.raises(RuntimeError, match="another run holds"), folder.lock():
+                pass
+            with pytest.raises(RuntimeError, match="taken over"):
+                renew()
+    assert not folder.exists("manifest.lock")
+
+
+def test_ages_and_roots(spark, tmp_path):
+    f.write(tmp_path / "a/x/1.jsonl", [])
+    f.write(tmp_path / "a/y/2.jsonl", [])
+    os.utime(tmp_path / "a/y/2.jsonl", (1, 1))
+    found = resolve_inputs(spark, [str(tmp_path / "a")], min_age_seconds=3600)
+    assert [p.rsplit("/", 1)[1] for p in found] == ["2.jsonl"]
+    assert common_root(["/r/a/x/1", "/r/a/y/2"]) == "/r/a" and common_root(["/r/a/1"]) == "/r/a" and common_root([]) == ""
+    at = spark.range(1).select(coerce.iso_utc(F.lit(1785456000123456789)).alias("t"), coerce.iso_utc(F.lit(0)).alias("z")).head()
+    assert tuple(at) == ("2026-07-31T00:00:00.123456+00:00", "1970-01-01T00:00:00.000000+00:00")
+    with pytest.raises(ValueError, match="no asset"):
+        discovery.chosen_asset(spark.createDataFrame([], "asset_id string, event_type string"))
 
 
 def frames_from(read):

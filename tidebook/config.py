@@ -9,24 +9,32 @@ from pathlib import Path
 
 @dataclass(frozen=True)
 class Config:
-    """Field names in capitals are the variables. Values below a minimum raise ValueError."""
+    """Field names in capitals are the variables. Values below a minimum raise ValueError; addresses have
+    no default."""
 
     data_dir: str = "data"
     max_markets: int = 75
     min_daily_reward: float = 0.0
-    min_volume_24hr: float = 0.0
+    min_volume_24h: float = 0.0
     discovery_interval_seconds: int = 900
     rotation_seconds: int = 900
     max_file_mib: int = 64
-    flush_interval_seconds: float = 2.0
-    checkpoint_interval_seconds: int = 300
-    stale_after_seconds: float = 30.0
+    flush_interval_seconds: int = 2
+    health_host: str = "127.0.0.1"
+    health_port: int = 8080
+    stale_after_seconds: int = 180
+    log_level: str = "INFO"
+    book_checkpoint_interval_seconds: int = 300
     collect_sports: bool = True
-    collect_prices: bool = True
-    port: int = 8080
+    collect_rtds_crypto: bool = True
+    clob_base_url: str = ""
+    gamma_base_url: str = ""
+    websocket_url: str = ""
+    sports_websocket_url: str = ""
+    rtds_websocket_url: str = ""
 
     def __post_init__(self) -> None:
-        least = {"max_markets": 1, "min_daily_reward": 0, "min_volume_24hr": 0, "discovery_interval_seconds": 1, "rotation_seconds": 1, "max_file_mib": 1, "flush_interval_seconds": 0, "checkpoint_interval_seconds": 1, "stale_after_seconds": 0, "port": 1}
+        least = {"max_markets": 1, "min_daily_reward": 0, "min_volume_24h": 0, "discovery_interval_seconds": 30, "rotation_seconds": 60, "max_file_mib": 1, "flush_interval_seconds": 1, "health_port": 1, "stale_after_seconds": 30, "book_checkpoint_interval_seconds": 0}
         if wrong := [f"{k.upper()} must be at least {v}" for k, v in least.items() if getattr(self, k) < v]:
             raise ValueError("; ".join(wrong))
 
@@ -42,8 +50,12 @@ def read_dotenv(path: str | Path) -> dict[str, str]:
     return out
 
 
-def from_env(dotenv: str | Path = ".env", environ: dict[str, str] | None = None) -> Config:
-    found = read_dotenv(dotenv) | dict(os.environ if environ is None else environ)
+def from_env(dotenv: str | Path | None = None, environ: dict[str, str] | None = None) -> Config:
+    """From the environment and a dotenv file: `dotenv`, else the variable ENV_FILE, else .env. PORT stands
+    in for HEALTH_PORT where only it is set."""
+    environ = dict(os.environ if environ is None else environ)
+    found = read_dotenv(dotenv or environ.get("ENV_FILE", ".env")) | environ
+    found.setdefault("HEALTH_PORT", found.get("PORT", ""))
     values = {}
     for field in fields(Config):
         if (text := found.get(field.name.upper(), "")) == "":
@@ -54,4 +66,9 @@ def from_env(dotenv: str | Path = ".env", environ: dict[str, str] | None = None)
             values[field.name] = text.strip().lower() in ("true", "1", "yes", "on")
         else:
             values[field.name] = type(field.default)(text)
+    for name, value in values.items():
+        if name.endswith("_url"):
+            values[name] = value.rstrip("/")
+    if "log_level" in values:
+        values["log_level"] = values["log_level"].upper()
     return Config(**values)

@@ -77,3 +77,9 @@ def first_truthy(*values: Column) -> Column:
 def canonical_json(value: Column) -> Column:
     """Compact JSON with sorted keys. Numbers lose superfluous zeros, exponents read 1.0E-7."""
     return F.to_json(value)
+
+
+def iso_utc(nanoseconds: Column) -> Column:
+    """Nanoseconds since 1970 as ISO text in UTC with microseconds; the session's time zone has no part in it."""
+    at = F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00")) + F.make_dt_interval(secs=F.floor(nanoseconds / 1000).cast("decimal(18,0)") / 1_000_000)
+    return F.concat(F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00"))

@@ -36,19 +36,38 @@ def selected_assets(selected: DataFrame) -> DataFrame:
 
 
 def merge_universe(rich: DataFrame, rewards: DataFrame) -> DataFrame:
-    """All markets of both sources by condition_id, the last row of each; the current reward wins, and
-    what only the reward source has is marked incomplete."""
+    """All markets of both sources by condition_id, the last row of each, with all of their columns.
+
+    The current reward wins where it is known. What only the reward source has is marked
+    metadata_incomplete. Most reward first, then most volume; missing ones count as 0.
+    """
 
     def last(df: DataFrame, name: str) -> DataFrame:
         return df.groupBy("condition_id").agg(F.max_by(F.struct(*df.columns), "ord").alias(name))
 
     both = last(rich, "m").join(last(rewards, "r"), "condition_id", "full_outer")
-    return both.select(
+    own = {"condition_id", "total_daily_rate", "volume_24hr"}
+    more = [F.coalesce(f"m.{c}", f"r.{c}").alias(c) if c in rewards.columns else F.col(f"m.{c}").alias(c) for c in rich.columns if c not in own]
+    more += [F.col(f"r.{c}").alias(c) for c in rewards.columns if c not in own and c not in rich.columns]
+    merged = both.select(
         "condition_id",
         F.coalesce("r.total_daily_rate", "m.total_daily_rate").alias("total_daily_rate"),
         F.coalesce(F.col("m.volume_24hr"), F.lit(0.0)).alias("volume_24hr"),
+        *more,
         F.col("m").isNull().alias("metadata_incomplete"),
     )
+    return merged.orderBy(F.desc(F.coalesce("total_daily_rate", F.lit(0.0))), F.desc("volume_24hr"), "condition_id")
+
+
+def coverage(universe: DataFrame) -> DataFrame:
+    """One row: market_count, candidate_count (markets with two tokens at least), sponsored_count (those
+    that only the reward source has) and complete (whether there is none of them)."""
+    return universe.agg(
+        F.count("*").alias("market_count"),
+        F.count_if(F.size(sound_tokens(F.col("tokens"))) >= 2).alias("candidate_count"),
+        F.count_if("metadata_incomplete").alias("sponsored_count"),
+        (F.count_if("metadata_incomplete") == 0).alias("complete"),
+    )
 
 
 def latest_settings(markets: DataFrame) -> DataFrame:
@@ -60,10 +79,10 @@ def latest_settings(markets: DataFrame) -> DataFrame:
 
 def enrich(selection: DataFrame, sources: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     """Left joins with every source by its key; a row is never dropped, and enrichment_errors names the
-    sources that had nothing for it."""
+    sources that had nothing for it. Of a source's rows with one key the largest counts, column by column."""
     out, missing = selection, []
     for name, (df, key) in sources.items():
-        part = df.select(F.col(key).alias(f"__{name}"), F.struct(*[c for c in df.columns if c != key]).alias(name)).dropDuplicates([f"__{name}"])
+        part = df.groupBy(F.col(key).alias(f"__{name}")).agg(F.max(F.struct(*[c for c in df.columns if c != key])).alias(name))
         out = out.join(part, F.col(key) == F.col(f"__{name}"), "left").drop(f"__{name}")
         missing.append(F.when(F.col(name).isNull(), name))
     return out.withColumn("enrichment_errors", F.array_compact(F.array(*missing)))
@@ -79,6 +98,14 @@ def choose_asset(events: DataFrame) -> DataFrame:
     return asset_counts(events).filter("books > 0 AND trades > 0").orderBy(F.desc("trades"), F.desc("books"), F.desc("asset_id")).limit(1)
 
 
+def chosen_asset(events: DataFrame) -> str:
+    """The asset of `choose_asset`; ValueError if none has both a book and a trade."""
+    found = choose_asset(events).head()
+    if found is None:
+        raise ValueError("no asset has both a book and a trade")
+    return found["asset_id"]
+
+
 def subscription_diff(current: DataFrame, desired: DataFrame) -> DataFrame:
     """asset_id and action (``subscribe`` or ``unsubscribe``) for what differs."""
     both = current.select("asset_id", F.lit(1).alias("c"), F.lit(0).alias("d")).unionByName(desired.select("asset_id", F.lit(0).alias("c"), F.lit(1).alias("d")))

@@ -18,26 +18,6 @@ ENVELOPE_LONGS = ("received_at_ns", "received_monotonic_ns", "subscription_revis
 ENVELOPE_INTS = ("frame_index", "frame_message_count")
 
 
-def running_totals(rows: DataFrame, keys: list[str], count: str, buckets: int = 64) -> DataFrame:
-    """Adds `before`: the sum of `count` over all rows that come earlier by `keys`.
-
-    Ranges of the keys are summed up first and their totals carried on, so no task sorts everything:
-    the one global window runs over a row per range.
-    """
-    first = rows.select(F.col(keys[0]).cast("double").alias("k")).agg(F.min("k").alias("a"), F.max("k").alias("z")).head() if rows.schema[keys[0]].dataType.typeName() in ("long", "integer") else None
-    if first is not None and first["a"] is not None:
-        # ranges of equal width by the first key; with skewed keys a range is more work, never wrong
-        width = max(1.0, (first["z"] - first["a"] + 1) / buckets)
-        rows = rows.withColumn("__range", F.floor((F.col(keys[0]) - F.lit(first["a"])) / F.lit(width)))
-    else:
-        rows = rows.withColumn("__range", F.col(keys[0]))
-    ranges = rows.groupBy("__range").agg(F.sum(count).alias("__n"))
-    ranges = ranges.select("__range", F.coalesce(F.sum("__n").over(Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long")).alias("__start"))
-    own = Window.partitionBy("__range").orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
-    out = rows.withColumn("__own", F.coalesce(F.sum(count).over(own), F.lit(0).cast("long"))).join(ranges, "__range")
-    return out.withColumn("before", F.col("__start") + F.col("__own")).drop("__range", "__own", "__start")
-
-
 def staged(rows: DataFrame, plain: list, values: dict[str, tuple[Column, Callable[[Column], Column]]], order: list[str] | None = None) -> DataFrame:
     """Looks the values up in one projection and coerces them in the next, so that an expression that a
     coercion uses several times is planned and run once."""

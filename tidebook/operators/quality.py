@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .normalize import invalid_items
+
 #: Fields that an event of a type must have.
 TRADE_FIELDS = ("asset_id", "price", "size", "side")
 REQUIRED = {"price_change": TRADE_FIELDS, "last_trade_price": TRADE_FIELDS, "book": ("asset_id",), "best_bid_ask": ("asset_id",), "tick_size_change": ("asset_id",)}
@@ -46,14 +48,25 @@ def negative_latencies(events: DataFrame) -> DataFrame:
     return events.agg(F.count_if(F.col("capture_latency_ms") < -1).alias("negative_latencies"))
 
 
+def input_sizes(records: DataFrame) -> DataFrame:
+    """input_files and input_bytes of the archives that the records were read from."""
+    files = records.groupBy("source_file").agg(F.max("source_bytes").alias("size"))
+    return files.agg(F.count("*").alias("input_files"), F.coalesce(F.sum("size"), F.lit(0).cast("long")).alias("input_bytes"))
+
+
 def report(events: DataFrame, records: DataFrame, levels: DataFrame, markets: DataFrame) -> DataFrame:
-    """One row: counts, and maps of counts by type and missing field."""
+    """One row: counts, and maps of counts by type and missing field.
+
+    invalid_record_rows counts lines that aren't objects and, within records, change frames that aren't
+    lists, elements and markets that aren't objects, and levels without a sound price and size.
+    """
 
     def as_map(counts: DataFrame, key: str, name: str) -> DataFrame:
         return counts.agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct(F.col(key).alias("key"), F.col("n").alias("value"))))).alias(name), F.lit(1).alias("one"))
 
     parts = [
-        records.agg(F.count("*").alias("raw_rows"), F.count_if("invalid_json").alias("invalid_json_rows"), F.count_if("not_object").alias("invalid_record_rows"), F.lit(1).alias("one")),
+        records.agg(F.count("*").alias("raw_rows"), F.count_if("invalid_json").alias("invalid_json_rows"), (F.count_if("not_object") + F.coalesce(F.sum(F.when(F.col("record").isNotNull(), invalid_items(records))), F.lit(0).cast("long"))).alias("invalid_record_rows"), F.lit(1).alias("one")),
+        input_sizes(records).withColumn("one", F.lit(1)),
         events.agg(F.count("*").alias("event_rows"), F.count_if(F.col("capture_latency_ms") < -1).alias("negative_latencies"), F.lit(1).alias("one")),
         levels.agg(F.count("*").alias("level_rows"), F.lit(1).alias("one")),
         markets.agg(F.count("*").alias("market_rows"), F.lit(1).alias("one")),

@@ -2,9 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import scratch_dir
+
+#: Neighbouring events whose price changes make up one frame, and such blocks per archive.
+BLOCK, BLOCKS = 4, 2500
+_archives: dict[tuple[str, str], str] = {}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -76,3 +84,53 @@ def markets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce("volume", F.lit(0.0)).alias("volume_24hr"),
         tokens.alias("tokens"),
     )
+
+
+def feed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The market feed as recorded lines: part (archive), block, ord, sub (their order) and value.
+
+    The price changes of `BLOCK` neighbouring events are one frame behind the block's other events. Before
+    every tenth block stand a control record, a price topic and a discovery of one market.
+    """
+    e = market_events(spark, sf_dir).withColumn("block", F.floor((F.col("sequence")) / BLOCK))
+    text = lambda c: F.col(c).cast("string").alias(c)
+    prices = [text(c) for c in ("price", "size", "best_bid", "best_ask")]
+
+    def side(way: int) -> F.Column:
+        level = lambda i: F.struct(((50 + way * i) / F.lit(100.0)).cast("string").alias("price"), (i * 10).cast("double").cast("string").alias("size"))
+        return F.when(F.col("event_type") == "book", F.transform(F.sequence(F.lit(1), F.lit(5)), level))
+
+    def line(kind: str, received: F.Column, *fields: F.Column) -> F.Column:
+        return F.to_json(F.struct(F.lit(kind).alias("record_type"), received.cast("long").alias("received_at_ns"), *fields)).alias("value")
+
+    stamp = F.col("exchange_timestamp_ms")
+    payload = F.struct("event_type", stamp.cast("string").alias("timestamp"), "market", "asset_id", "side", *prices, text("tick_size"), side(-1).alias("bids"), side(1).alias("asks"))
+    plain = e.filter("event_type <> 'price_change'").select("block", F.lit(3).alias("ord"), F.col("sequence").alias("sub"), line("market_ws", (stamp + F.col("k")) * 1_000_000, payload.alias("payload")))
+    frames = e.filter("event_type = 'price_change'").groupBy("block").agg(F.min("exchange_timestamp_ms").alias("at"), F.min("k").alias("k"), F.min("market").alias("market"), F.sort_array(F.collect_list(F.struct("sequence", "asset_id", "side", *prices))).alias("changes"))
+    changes = F.transform("changes", lambda x: F.struct(*[x[c].alias(c) for c in ("asset_id", "side", "price", "size", "best_bid", "best_ask")]))
+    frame = F.struct(F.lit("price_change").alias("event_type"), F.col("at").cast("string").alias("timestamp"), "market", changes.alias("price_changes"))
+    framed = frames.select("block", F.lit(4).alias("ord"), F.lit(0).cast("long").alias("sub"), line("market_ws", (F.col("at") + F.col("k")) * 1_000_000, frame.alias("payload")))
+    b = F.col("block")
+    token = lambda side, name: F.struct(F.concat(F.lit(side), b.cast("string")).alias("token_id"), F.lit(name).alias("outcome"), ((b % 100) / F.lit(100.0)).cast("string").alias("price"))
+    market = F.struct(F.concat(F.lit("c"), b.cast("string")).alias("condition_id"), (b % 90).alias("collector_daily_reward"), F.array(token("y", "Yes"), token("n", "No")).alias("tokens"))
+    topic = F.struct(F.lit("prices").alias("topic"), F.struct(F.lit("coin").alias("symbol"), b.alias("timestamp"), b.cast("string").alias("value")).alias("payload"))
+    extra = e.select("block").distinct().filter(b % 10 == 0)
+    extras = [
+        extra.select("block", F.lit(i).alias("ord"), F.lit(0).cast("long").alias("sub"), value)
+        for i, value in enumerate((line("market_ws_control", b * 1_000_000, F.lit("connected").alias("control_event")), line("rtds", b * 1_000_000, topic.alias("payload")), line("rewarded_market_discovery", b * 1_000_000, F.array(market).alias("markets"))))
+    ]
+    lines = plain.unionByName(framed)
+    for more in extras:
+        lines = lines.unionByName(more)
+    return lines.withColumn("part", F.lpad(F.floor(b / BLOCKS).cast("string"), 12, "0"))
+
+
+def archives(spark: SparkSession, sf_dir: str) -> str:
+    """A folder with the feed's lines as text files, one per part, written once per session and table."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _archives:
+        path = f"{scratch_dir(spark)}/feed-{uuid.uuid4().hex}"
+        lines = feed_lines(spark, sf_dir).repartition("part").sortWithinPartitions("part", "block", "ord", "sub")
+        lines.select("part", "value").write.partitionBy("part").text(path)
+        _archives[key] = path
+    return _archives[key]

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import coerce, market_math as m
-from ..operators import backtest, book, discovery, quality
-from .adapter import book_levels, market_events, markets, table
+from ..operators import backtest, book, discovery, normalize, quality
+from ..sources import archives as archives_module
+from .adapter import archives, book_levels, market_events, markets, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -81,6 +82,32 @@ STATE_SQL = ANNOTATED_SQL + """,
     FROM (SELECT sequence, asset_id FROM pts) p LEFT JOIN (SELECT sequence, side, price, size, rn FROM at_points) x USING (sequence) GROUP BY ALL)"""
 
 
+# The lines of `adapter.feed_lines` as events, numbered in their order.
+FEED_SQL = EVENTS_SQL + """,
+  blk AS (SELECT *, sequence // 4 AS block FROM m),
+  tenth AS (SELECT DISTINCT block FROM blk WHERE block % 10 = 0),
+  rec AS (
+    SELECT block, 3 AS ord, sequence AS sub, CASE WHEN event_type = 'book' THEN sequence END AS book, 'feed' AS route, event_type, asset_id, side, price, size, best_bid, best_ask, tick_size, exchange_timestamp_ms AS ts, (exchange_timestamp_ms + k) * 1000000 AS received,
+           NULL::INTEGER AS change_index, NULL::INTEGER AS change_count
+    FROM blk WHERE event_type <> 'price_change'
+    UNION ALL
+    SELECT block, 4, sequence, NULL, 'change', event_type, asset_id, side, price, size, best_bid, best_ask, NULL, min(exchange_timestamp_ms) OVER b, (min(exchange_timestamp_ms) OVER b + min(k) OVER b) * 1000000,
+           (row_number() OVER (PARTITION BY block, asset_id ORDER BY sequence) - 1)::INTEGER, (count(*) OVER (PARTITION BY block, asset_id))::INTEGER
+    FROM blk WHERE event_type = 'price_change' WINDOW b AS (PARTITION BY block)
+    UNION ALL
+    SELECT block, o, 0, NULL, r, t, '', '', NULL, NULL, NULL, NULL, NULL, CASE WHEN o = 1 THEN block END, block * 1000000, NULL, NULL
+    FROM tenth, (VALUES (0, 'other', 'connected'), (1, 'topic', 'prices'), (2, 'market', 'rewarded_market_discovery')) x(o, r, t)),
+  fe AS (
+    SELECT *, row_number() OVER (ORDER BY block, ord, sub) AS seq, received / 1e6 - ts AS capture_latency_ms,
+           dense_rank() OVER (PARTITION BY block // 2500 ORDER BY block, ord, CASE WHEN ord = 3 THEN sub ELSE 0 END) AS line
+    FROM rec)"""
+
+
+def _recorded(spark: SparkSession, sf_dir: str):
+    """The feed, written as archives and read back through the whole ingest."""
+    return normalize.normalize(spark, [archives(spark, sf_dir)])
+
+
 def query(sql: str | None = None):
     def add(f):
         QUERIES[f.__name__] = f
@@ -104,10 +131,12 @@ def event_type_counts(spark, sf_dir):
     return quality.type_counts(market_events(spark, sf_dir))
 
 
-@query(f"WITH {EVENTS_SQL} SELECT sequence, asset_id, event_type, side, price, size, best_bid, best_ask, tick_size, change_index, change_count, (exchange_timestamp_ms + k) * 1000000 / 1e6 - exchange_timestamp_ms AS capture_latency_ms FROM m")
+_COLUMNS = ["asset_id", "event_type", "side", "price", "size", "best_bid", "best_ask", "tick_size", "change_index", "change_count", "capture_latency_ms"]
+
+
+@query(f"WITH {FEED_SQL} SELECT seq AS sequence, ts AS exchange_timestamp_ms, {', '.join(_COLUMNS)} FROM fe")
 def events_projection(spark, sf_dir):
-    received = (F.col("exchange_timestamp_ms") + F.col("k")) * 1_000_000
-    return market_events(spark, sf_dir).select("sequence", "asset_id", "event_type", "side", "price", "size", "best_bid", "best_ask", "tick_size", "change_index", "change_count", (received / 1e6 - F.col("exchange_timestamp_ms")).alias("capture_latency_ms"))
+    return _recorded(spark, sf_dir).events.select("sequence", "exchange_timestamp_ms", *_COLUMNS)
 
 
 @query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k_double, json_extract_string(props, '$.k') <> '0' AS k_bool, CASE WHEN json_extract_string(props, '$.k') = '0' THEN '' ELSE json_extract_string(props, '$.k') END AS k_text FROM events")
@@ -127,34 +156,38 @@ def raw_json_roundtrip(spark, sf_dir):
     return rows.select(*[f(coerce.at(record, f"$.{c}")).alias(c) for c, f in (("sequence", coerce.as_long), ("asset_id", coerce.as_text), ("event_type", coerce.as_text), ("price", coerce.as_double), ("size", coerce.as_double), ("best_bid", coerce.as_double))])
 
 
-@query(f"""WITH {EVENTS_SQL} SELECT route, count(*) AS n, count(DISTINCT asset_id) AS assets FROM (
-  SELECT asset_id, CASE WHEN event_type = 'book' THEN 'levels' WHEN event_type = 'price_change' THEN 'changes' ELSE 'plain' END AS route FROM m) GROUP BY 1""")
+@query(f"WITH {FEED_SQL} SELECT route, event_type, count(*) AS n, count(DISTINCT asset_id) AS assets FROM fe GROUP BY 1, 2")
 def route_events(spark, sf_dir):
-    e = market_events(spark, sf_dir).select("asset_id", "event_type")
-    levels = e.filter("event_type = 'book'").withColumn("route", F.lit("levels"))
-    changes = e.filter("event_type = 'price_change'").withColumn("route", F.lit("changes"))
-    plain = e.filter("event_type NOT IN ('book', 'price_change')").withColumn("route", F.lit("plain"))
-    return levels.unionByName(changes).unionByName(plain).groupBy("route").agg(F.count("*").alias("n"), F.count_distinct("asset_id").alias("assets"))
+    rows = normalize.routed(archives_module.parsed(archives_module.read_lines(spark, [archives(spark, sf_dir)])))
+    return rows.groupBy("route", "event_type").agg(F.count("*").alias("n"), F.count_distinct("asset_id").alias("assets"))
 
 
-@query(f"WITH {EVENTS_SQL} SELECT sequence, asset_id, side, price, size, source_rank FROM lv WHERE price IS NOT NULL AND size >= 0")
+@query(f"WITH {FEED_SQL} SELECT seq AS sequence, fe.asset_id, lv.side, lv.price, lv.size, lv.source_rank FROM fe JOIN lv ON lv.sequence = fe.book")
 def explode_levels(spark, sf_dir):
-    return _feed(spark, sf_dir)[1].filter("price IS NOT NULL AND size >= 0").withColumn("source_rank", F.col("source_rank").cast("int"))
+    return _recorded(spark, sf_dir).levels.select("sequence", "asset_id", "side", "price", "size", F.col("source_rank").cast("int").alias("source_rank"))
 
 
-@query(f"WITH {EVENTS_SQL} SELECT sequence, change_index, change_count FROM m WHERE event_type = 'price_change'")
+@query(f"WITH {FEED_SQL} SELECT seq AS sequence, asset_id, change_index, change_count FROM fe WHERE event_type = 'price_change'")
 def price_change_index(spark, sf_dir):
-    return market_events(spark, sf_dir).filter("event_type = 'price_change'").select("sequence", "change_index", "change_count")
+    return _recorded(spark, sf_dir).events.filter("event_type = 'price_change'").select("sequence", "asset_id", "change_index", "change_count")
 
 
-@query("""WITH r AS (SELECT l_orderkey, l_linenumber, l_shipdate, 1 + l_linenumber % 3 AS n FROM lineitem),
-  o AS (SELECT *, sum(n) OVER (ORDER BY l_orderkey, l_linenumber, l_shipdate ROWS UNBOUNDED PRECEDING) - n AS before FROM (SELECT l_orderkey, l_linenumber, min(l_shipdate) AS l_shipdate, sum(n) AS n FROM r GROUP BY 1, 2))
-  SELECT l_orderkey, l_linenumber, CAST(before + 1 AS BIGINT) AS first_sequence FROM o""")
+@query(f"WITH {FEED_SQL} SELECT seq AS sequence, line AS source_line, event_type, asset_id FROM fe")
 def sequence_assign(spark, sf_dir):
-    from ..operators.normalize import running_totals
+    return _recorded(spark, sf_dir).events.select("sequence", "source_line", "event_type", "asset_id")
 
-    rows = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.sum(1 + F.col("l_linenumber") % 3).alias("n"))
-    return running_totals(rows, ["l_orderkey", "l_linenumber"], "n").select("l_orderkey", "l_linenumber", (F.col("before") + 1).alias("first_sequence"))
+
+@query(f"""WITH {FEED_SQL} SELECT seq AS discovery_sequence, s || block AS token_id, o AS outcome, (block % 100) / 100.0::DOUBLE AS token_price, (block % 90)::DOUBLE AS daily_reward, 'c' || block AS condition_id, i AS token_index, TRUE AS is_selected
+  FROM fe, (VALUES (0, 'y', 'Yes'), (1, 'n', 'No')) t(i, s, o) WHERE route = 'market'""")
+def market_rows(spark, sf_dir):
+    return _recorded(spark, sf_dir).markets.select("discovery_sequence", "token_id", "outcome", "token_price", "daily_reward", "condition_id", "token_index", "is_selected")
+
+
+@query(f"""WITH {FEED_SQL} SELECT count(DISTINCT (block // 2500, line)) AS raw_rows, 0::BIGINT AS invalid_json_rows, 0::BIGINT AS invalid_record_rows, count(*) AS event_rows, (SELECT count(*) FROM lv) AS level_rows, count(*) FILTER (route = 'market') * 2 AS market_rows,
+  count(DISTINCT block // 2500) AS input_files, 0::BIGINT AS duplicates FROM fe""")
+def ingest_report(spark, sf_dir):
+    t = _recorded(spark, sf_dir)
+    return quality.report(t.events, t.records, t.levels, t.markets).select("raw_rows", "invalid_json_rows", "invalid_record_rows", "event_rows", "level_rows", "market_rows", "input_files", "duplicates")
 
 
 # quality -------------------------------------------------------------------------------------------
@@ -246,12 +279,22 @@ def selected_assets(spark, sf_dir):
     return discovery.selected_assets(discovery.select_markets(_markets(spark, sf_dir), 75, 5, 100))
 
 
-@query(f"""WITH {MARKETS_SQL}, rich AS (SELECT * FROM mk WHERE ord % 3 <> 0), rew AS (SELECT condition_id, total + 1 AS total FROM mk WHERE ord % 2 = 0)
-  SELECT condition_id, coalesce(rew.total, rich.total) AS total_daily_rate, coalesce(rich.volume_24hr, 0) AS volume_24hr, rich.ord IS NULL AS metadata_incomplete FROM rich FULL JOIN rew USING (condition_id)""")
+@query(f"""WITH {MARKETS_SQL}, rich AS (SELECT * FROM mk WHERE volume_24hr > 700), rew AS (SELECT ord, condition_id, total + 1 AS total FROM mk WHERE daily_reward < 12)
+  SELECT condition_id, coalesce(rew.total, rich.total) AS total_daily_rate, coalesce(rich.volume_24hr, 0) AS volume_24hr, coalesce(rich.ord, rew.ord) AS ord, array_to_string(rich.tokens, ',') AS tokens, rich.ord IS NULL AS metadata_incomplete FROM rich FULL JOIN rew USING (condition_id)""")
 def universe_merge(spark, sf_dir):
-    all_markets = markets(spark, sf_dir)
-    rewards = all_markets.filter("ord % 2 = 0").select("condition_id", "ord", (F.col("total_daily_rate") + 1).alias("total_daily_rate"))
-    return discovery.merge_universe(all_markets.filter("ord % 3 <> 0"), rewards)
+    return _universe(spark, sf_dir).select("condition_id", "total_daily_rate", "volume_24hr", "ord", F.array_join("tokens", ",").alias("tokens"), "metadata_incomplete")
+
+
+def _universe(spark, sf_dir):
+    rows = _markets(spark, sf_dir)
+    rewards = rows.filter("daily_reward < 12").select("condition_id", "ord", (F.col("total_daily_rate") + 1).alias("total_daily_rate"))
+    return discovery.merge_universe(rows.filter("volume_24hr > 700"), rewards)
+
+
+@query(f"""WITH {MARKETS_SQL}, rich AS (SELECT * FROM mk WHERE volume_24hr > 700), rew AS (SELECT condition_id FROM mk WHERE daily_reward < 12), u AS (SELECT rich.ord, rich.tokens FROM rich FULL JOIN rew USING (condition_id))
+  SELECT count(*) AS market_count, count(*) FILTER (len(list_filter(tokens, lambda t: t <> '')) >= 2) AS candidate_count, count(*) FILTER (ord IS NULL) AS sponsored_count, count(*) FILTER (ord IS NULL) = 0 AS complete FROM u""")
+def universe_coverage(spark, sf_dir):
+    return discovery.coverage(_universe(spark, sf_dir))
 
 
 @query("""WITH s AS (SELECT 'T' || (o_custkey % 500) AS token_id, o_orderkey AS ord, epoch_us(o_orderdate) // 1000000 * 1000000000 AS received_at_ns, o_totalprice AS tick FROM orders)

@@ -8,6 +8,8 @@ that has changed since it was done is an error. The manifest is replaced by a re
 from __future__ import annotations
 
 import json
+import time
+import uuid
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -61,16 +63,45 @@ class Folder:
     def delete(self, name: str) -> None:
         self.fs.delete(self.path(name), True)
 
-    @contextmanager
-    def lock(self, name: str = "manifest.lock"):
+    def _claim(self, name: str, owner: str, until: float) -> bool:
         try:
-            self.fs.create(self.path(name), False).close()
-        except Exception as e:
-            raise RuntimeError(f"another run holds {self.name}/{name}") from e
+            stream = self.fs.create(self.path(name), False)
+        except Exception:  # it exists
+            return False
+        stream.write(bytearray(json.dumps({"owner": owner, "until": until}).encode()))
+        stream.close()
+        return True
+
+    def _owner(self, name: str) -> str | None:
+        return json.loads(self.read(name))["owner"] if self.exists(name) else None
+
+    @contextmanager
+    def lock(self, name: str = "manifest.lock", lease_seconds: float = 3600):
+        """Held by one run at a time; yields a function that renews the lease. The lock of a run that died
+        is taken over when its lease has ended: it is renamed first, which only one run can do."""
+        owner = uuid.uuid4().hex
+        if not self._claim(name, owner, time.time() + lease_seconds):
+            try:
+                until = json.loads(self.read(name))["until"]
+            except Exception:  # gone by now, or not yet written
+                until = float("inf")
+            old = self.path(f"{name}.{owner}")
+            if until > time.time() or not self.fs.rename(self.path(name), old):
+                raise RuntimeError(f"another run holds {self.name}/{name}")
+            self.fs.delete(old, False)
+            if not self._claim(name, owner, time.time() + lease_seconds):
+                raise RuntimeError(f"another run holds {self.name}/{name}")
+
+        def renew() -> None:
+            if self._owner(name) != owner:
+                raise RuntimeError(f"another run has taken over {self.name}/{name}")
+            self.replace(name, json.dumps({"owner": owner, "until": time.time() + lease_seconds}))
+
         try:
-            yield
+            yield renew
         finally:
-            self.delete(name)
+            if self._owner(name) == owner:
+                self.delete(name)
 
 
 def load_manifest(folder: Folder) -> dict:
@@ -88,23 +119,43 @@ def load_manifest(folder: Folder) -> dict:
 
 
 def describe(spark: SparkSession, root: str, paths: list[str]) -> list[dict]:
-    """key (relative to the root, or the file's name), date, stamp, stem, digest and size of archives, in
-    the order that they are worked on. Digests are taken by the executors."""
+    """key (relative to the root, or the file's name), date, stamp, stem, size and time of archives, in the
+    order that they are worked on. Their bytes aren't read."""
     base = Folder(spark, root).name.rstrip("/") + "/"
     files = spark.read.format("binaryFile").load(paths)
     key = F.when(F.startswith("path", F.lit(base)), F.substring("path", len(base) + 1, 1 << 30)).otherwise(F.substring_index("path", "/", -1))
-    rows = archive_columns(files.select(key.alias("key"), "path", "length", F.to_date("modificationTime").cast("string").alias("modified"), F.sha2("content", 256).alias("sha256")))
+    rows = archive_columns(files.select(key.alias("key"), "path", "length", F.to_date("modificationTime").cast("string").alias("modified"), F.unix_millis("modificationTime").alias("modified_ms")))
     return [r.asDict() | {"date": r["date"] or r["modified"]} for r in rows.orderBy(F.col("stamp").isNull(), "stamp", "key").collect()]
 
 
+def digests(spark: SparkSession, paths: list[str]) -> dict[str, str]:
+    """SHA-256 of archives by path, taken by the executors, a task each."""
+    if not paths:
+        return {}
+    files = spark.read.format("binaryFile").load(paths).select("path", F.sha2("content", 256).alias("sha256"))
+    return {r["path"]: r["sha256"] for r in files.collect()}
+
+
 def incremental_convert(spark: SparkSession, source_root: str, out_root: str, most: int | None = None) -> dict:
     """Works on the archives below `source_root` that aren't done; returns processed, skipped and totals."""
     folder = Folder(spark, out_root)
-    with folder.lock():
+    with folder.lock() as renew:
         manifest = load_manifest(folder)
         done, processed, skipped = manifest["archives"], [], []
-        for archive in describe(spark, source_root, resolve_inputs(spark, [source_root])):
+        listed = describe(spark, source_root, resolve_inputs(spark, [source_root]))
+        # what is done and has the size and time that it had then isn't read again
+        same = {a["key"] for a in listed if (e := done.get(a["key"])) and e["status"] == "completed" and (e["size"], e.get("modified_ms")) == (a["length"], a["modified_ms"])}
+        fresh = [a for a in listed if a["key"] not in done]
+        wanted = fresh if most is None else fresh[:most]
+        hashed = digests(spark, [a["path"] for a in [*wanted, *(a for a in listed if a["key"] in done and a["key"] not in same)]])
+        for archive in listed:
             key, entry = archive["key"], done.get(archive["key"])
+            if key in same:
+                skipped.append(key)
+                continue
+            if most is not None and len(processed) >= most:
+                break
+            archive["sha256"] = hashed[archive["path"]]
             if entry and entry["status"] not in ("completed", "processing"):
                 raise ValueError(f"{key} has the status {entry['status']}")
             if entry and entry["sha256"] != archive["sha256"]:
@@ -112,8 +163,7 @@ def incremental_convert(spark: SparkSession, source_root: str, out_root: str, mo
             if entry and entry["status"] == "completed":
                 skipped.append(key)
                 continue
-            if most is not None and len(processed) >= most:
-                break
+            renew()
             start = entry["sequence_start"] if entry else manifest["next_sequence"]
             places = {t: f"{t}/date={archive['date']}/archive={start:020d}__{archive['stem']}" for t in TABLES}
             for place in places.values():
@@ -121,7 +171,7 @@ def incremental_convert(spark: SparkSession, source_root: str, out_root: str, mo
                     folder.delete(place)
                 elif folder.exists(place):
                     raise ValueError(f"{place} exists but is not in the manifest")
-            done[key] = {"status": "processing", "sha256": archive["sha256"], "size": archive["length"], "sequence_start": start, "places": places}
+            done[key] = {"status": "processing", "sha256": archive["sha256"], "size": archive["length"], "modified_ms": archive["modified_ms"], "sequence_start": start, "places": places}
             folder.replace("manifest.json", json.dumps(manifest, sort_keys=True))
             summary = _convert(spark, archive["path"], start, {t: f"{folder.name}/{p}" for t, p in places.items()})
             done[key] |= {"status": "completed", "sequence_end": start + summary["events"], "summary": summary}

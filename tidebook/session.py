@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -25,3 +26,19 @@ def get_spark(app: str = "tidebook", cpus: str | int = "*", **conf: str) -> Spar
     for key, value in conf.items():
         builder = builder.config(key.replace("_", "."), value)
     return builder.getOrCreate()
+
+
+_own: dict[str, str] = {}
+
+
+def scratch_dir(spark: SparkSession) -> str:
+    """A folder that driver and executors share, below ``spark.checkpoint.dir``. Only in local mode may
+    the setting be absent: a temporary folder takes its place."""
+    app, found = spark.sparkContext.applicationId, spark.conf.get("spark.checkpoint.dir", None)
+    if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        if app not in _own:
+            _own[app] = "file://" + tempfile.mkdtemp(prefix="tidebook-")
+        found = _own[app]
+    return f"{found.rstrip('/')}/tidebook/{app}"

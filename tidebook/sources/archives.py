@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -10,14 +12,16 @@ SENTINEL = "tidebook-5c1f0e9a-end-of-line"
 SUFFIXES = (".jsonl", ".jsonl.gz")
 
 
-def resolve_inputs(spark: SparkSession, paths: list[str]) -> list[str]:
-    """Distinct files below the paths (folders recursively) that end in .jsonl or .jsonl.gz, sorted.
+def resolve_inputs(spark: SparkSession, paths: list[str], min_age_seconds: float = 0) -> list[str]:
+    """Distinct files below the paths (folders recursively) that end in .jsonl or .jsonl.gz, sorted;
+    those in folders only if they were last modified `min_age_seconds` ago or earlier.
 
     Any Hadoop file system; FileNotFoundError if a path doesn't exist, isn't such a file, or if there
     is no file at all.
     """
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     found: set[str] = set()
+    latest = (time.time() - min_age_seconds) * 1000
     for path in paths:
         at = jvm.org.apache.hadoop.fs.Path(path)
         fs = at.getFileSystem(conf)
@@ -30,16 +34,26 @@ def resolve_inputs(spark: SparkSession, paths: list[str]) -> list[str]:
             continue
         files = fs.listFiles(at, True)
         while files.hasNext():
-            name = files.next().getPath().toString()
-            if name.endswith(SUFFIXES):
+            file = files.next()
+            name = file.getPath().toString()
+            if name.endswith(SUFFIXES) and file.getModificationTime() <= latest:
                 found.add(name)
     if not found:
         raise FileNotFoundError(", ".join(paths))
     return sorted(found)
 
 
+def common_root(paths: list[str]) -> str:
+    """The deepest folder that holds all paths, which may lie below several roots."""
+    parts = [p.rsplit("/", 1)[0].split("/") for p in paths]
+    same = 0
+    while parts and all(len(p) > same and p[same] == parts[0][same] for p in parts):
+        same += 1
+    return "/".join(parts[0][:same]) if parts else ""
+
+
 def read_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """source_file, source_line (from 1, blank lines count) and value of every line.
+    """source_file, source_bytes (the file's size), source_line (from 1, blank lines count) and value of every line.
 
     Lines are numbered within a split, and the splits' counts are summed up over a file: a file that
     is cut into many splits is numbered by as many tasks.
@@ -47,6 +61,7 @@ def read_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     lines = spark.read.text(paths).select(
         "value",
         F.col("_metadata.file_path").alias("source_file"),
+        F.col("_metadata.file_size").alias("source_bytes"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("at"),
     )
@@ -55,7 +70,7 @@ def read_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     before = Window.partitionBy("source_file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("source_file", "block", F.coalesce(F.sum("n").over(before), F.lit(0).cast("long")).alias("start"))
     numbered = lines.withColumn("no", F.row_number().over(within)).join(starts, ["source_file", "block"])
-    return numbered.select("source_file", (F.col("start") + F.col("no")).alias("source_line"), "value")
+    return numbered.select("source_file", "source_bytes", (F.col("start") + F.col("no")).alias("source_line"), "value")
 
 
 def parsed(lines: DataFrame, column: str = "value") -> DataFrame:

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import importlib
 import json
+import random
 import time
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,11 +37,46 @@ class Feed(DataSource):
         return FeedReader(dict(self.options))
 
 
+class Subscription:
+    """The assets that a feed is asked for, and how often that has changed."""
+
+    def __init__(self) -> None:
+        self.assets: frozenset[str] = frozenset()
+        self.revision = 0
+
+    def update(self, desired: Iterable[str]) -> list[str]:
+        """The messages that bring the feed from its assets to the desired ones, as text; none if nothing changes."""
+        wanted = frozenset(desired)
+        gone, new = sorted(self.assets - wanted), sorted(wanted - self.assets)
+        self.revision += bool(gone or new)
+        self.assets = wanted
+        asked = [{"assets_ids": gone, "operation": "unsubscribe"}] if gone else []
+        asked += [{"assets_ids": new, "operation": "subscribe", "custom_feature_enabled": True}] if new else []
+        return [json.dumps(x, separators=(",", ":")) for x in asked]
+
+
 class FeedReader(SimpleDataSourceStreamReader):
+    """Options besides `connect`: `send`, a function that sends a text to the feed; `assets`, one that gives
+    the desired assets, compared before each batch; `ping_seconds`, after which a PING is sent;
+    `stale_seconds` without a frame, after which a `stale` control is told and waits start over.
+
+    After a failure no attempt is made before its wait is over; waits are doubled and get up to a tenth more
+    by chance, so that many readers don't come back at once.
+    """
+
     def __init__(self, options: dict) -> None:
-        module, _, function = options["connect"].partition(":")
-        self.connect = getattr(importlib.import_module(module), function)
-        self.options = options
+        def function(name: str):
+            module, _, attribute = options[name].partition(":")
+            return getattr(importlib.import_module(module), attribute)
+
+        self.connect = function("connect")
+        self.send = function("send") if "send" in options else None
+        self.assets = function("assets") if "assets" in options else None
+        self.ping, self.stale = float(options.get("ping_seconds", 10)), float(options.get("stale_seconds", 30))
+        self.clock, self.options, self.subscription = time.monotonic, options, Subscription()
+        self.wait, self.blocked_until, self.pinged = FIRST_WAIT / 2, 0.0, None
+        self.connected_at: float | None = None
+        self.heard = self.clock()
 
     def initialOffset(self) -> dict:
         return {"read": 0}
@@ -48,12 +84,46 @@ class FeedReader(SimpleDataSourceStreamReader):
     def _rows(self, at: int, frames: list[str]) -> list[tuple]:
         return [(at + i, time.time_ns(), time.monotonic_ns(), "pong" if f.strip().upper() == "PONG" else "frame", f) for i, f in enumerate(frames)]
 
+    def _control(self, at: int, kind: str, text: str) -> tuple:
+        return (at, time.time_ns(), time.monotonic_ns(), kind, text)
+
+    def _keep_up(self, at: int) -> list[tuple]:
+        """Sends what is due; control rows of changed subscriptions."""
+        told = []
+        if self.send and self.assets:
+            messages = self.subscription.update(self.assets())
+            for message in messages:
+                self.send(message)
+            if messages:
+                told.append(self._control(at, "subscription_update", json.dumps({"revision": self.subscription.revision, "subscribed_asset_count": len(self.subscription.assets)})))
+        if self.send and (self.pinged is None or self.clock() - self.pinged >= self.ping):
+            self.send("PING")
+            self.pinged = self.clock()
+        return told
+
     def read(self, start: dict) -> tuple[Iterator[tuple], dict]:
+        now, at, told = self.clock(), start["read"], []
+        if now < self.blocked_until:
+            return iter([]), start
         try:
-            frames = list(self.connect(start["read"]))
+            told += self._keep_up(at)
+            frames = list(self.connect(at))
         except Exception as e:
-            return iter([(start["read"], time.time_ns(), time.monotonic_ns(), "connection_error", f"{type(e).__name__}: {e}")]), start
-        return iter(self._rows(start["read"], frames)), {"read": start["read"] + len(frames)}
+            held = 0.0 if self.connected_at is None else now - self.connected_at
+            self.wait = next_wait(self.wait, held)
+            self.blocked_until, self.connected_at = now + self.wait * (1 + random.random() / 10), None
+            self.subscription.assets, self.pinged = frozenset(), None  # a new connection is asked anew
+            return iter([*told, self._control(at, "connection_error", f"{type(e).__name__}: {e}")]), start
+        if self.connected_at is None:
+            self.connected_at = now
+            told.append(self._control(at, "connected", ""))
+        if frames:
+            self.heard = now
+        elif now - self.heard >= self.stale:
+            told.append(self._control(at, "stale", ""))
+            self.heard, self.connected_at = now, None
+            self.subscription.assets, self.pinged = frozenset(), None
+        return iter([*told, *self._rows(at, frames)]), {"read": at + len(frames)}
 
     def readBetweenOffsets(self, start: dict, end: dict) -> Iterator[tuple]:
         frames = list(self.connect(start["read"]))[: end["read"] - start["read"]]
@@ -83,18 +153,3 @@ def records(frames: DataFrame, source: str = "market_ws", any_item: bool = False
 
 def register(spark: SparkSession) -> None:
     spark.dataSource.register(Feed)
-
-
-def health(last_message_at: float | None, connected: bool, started_at: float, now: float, stale_after: float = 30.0) -> dict:
-    """Whether a feed is well, and else the first reason why not."""
-    reasons = [
-        ("not connected", not connected),
-        ("no message yet", last_message_at is None and now - started_at > stale_after),
-        ("no recent message", last_message_at is not None and now - last_message_at > stale_after),
-    ]
-    reason = next((text for text, bad in reasons if bad), None)
-    return {"healthy": reason is None, "reason": reason}
-
-
-def to_line(record: dict) -> str:
-    return json.dumps(record, ensure_ascii=False, separators=(",", ":"), sort_keys=True)
