@@ -35,36 +35,52 @@ def _list(value: Column) -> Column:
     return F.try_variant_get(value, "$", "array<variant>")
 
 
-def routed(records: DataFrame) -> DataFrame:
-    """One row per event: its record, the payload it is projected from, event_type, frame places."""
-    record, kind = F.col("record"), F.coalesce(F.col("record_type"), F.lit(""))
-    payload = at(record, "$.payload")
-    feed = kind.isin(*FEED_RECORDS) & _object(payload)
-    own_type = F.when(kind == "rest_book_checkpoint", "book").otherwise(F.coalesce(F.nullif(as_text(at(payload, "$.event_type")), F.lit("")), F.lit("unknown")))
-    topic = kind.isin(*TOPIC_RECORDS) & _object(payload)
-    topic_type = as_text(first_present(*(at(payload, f"$.{n}") for n in ("event_type", "type", "topic")), at(record, "$.record_type")))
-    other_type = as_text(first_present(at(record, "$.control_event"), at(record, "$.record_type"), F.parse_json(F.lit('"unknown_record"'))))
-    rows = records.filter("record IS NOT NULL").withColumns(
-        {
-            "route": F.when(kind.isin(*MARKET_RECORDS), "market").when(feed & (own_type == "price_change"), "change").when(feed, "feed").when(topic, "topic").otherwise("other"),
-            "event_type": F.when(kind.isin(*MARKET_RECORDS), kind).when(feed, own_type).when(topic, topic_type).otherwise(other_type),
-            "payload": F.when(feed | topic, payload).otherwise(record),
-        }
-    )
-    changes = F.when(F.col("route") == "change", F.coalesce(_list(at(F.col("payload"), "$.price_changes")), F.array().cast("array<variant>")))
+#: What a line keeps on its way to events.
+LINE_COLUMNS = ["source_file", "source_block", "source_line", "record", "record_type", "route", "event_type", "payload", "items", "assets"]
+
+
+def routed_lines(records: DataFrame) -> DataFrame:
+    """One row per record: route, event_type, the payload it is projected from, its items (a change frame's
+    objects, else one null) and the assets that they name. Values are looked up in one projection and
+    coerced in the next, so that none is looked up twice."""
+    kind = F.coalesce("record_type", F.lit(""))
+    places = [F.col(c) if c in records.columns else F.lit(0).alias(c) for c in ("source_file", "source_block", "source_line")]
+    first = records.filter("record IS NOT NULL").select(*places, "record", "record_type", kind.alias("kind"), at(F.col("record"), "$.payload").alias("p"), at(F.col("record"), "$.control_event").alias("control"), at(F.col("record"), "$.record_type").alias("own"))
+    p, k = F.col("p"), F.col("kind")
+    looked = first.withColumns({"is_object": k.isin(*FEED_RECORDS, *TOPIC_RECORDS) & _object(p), "told": at(p, "$.event_type"), "t1": at(p, "$.type"), "t2": at(p, "$.topic"), "asset": at(p, "$.asset_id"), "own_asset": at(F.col("record"), "$.asset_id")})
+    feed, topic, market = F.col("is_object") & k.isin(*FEED_RECORDS), F.col("is_object") & k.isin(*TOPIC_RECORDS), k.isin(*MARKET_RECORDS)
+    named = F.when(feed, F.col("told")).when(topic, first_present(F.col("told"), F.col("t1"), F.col("t2"), F.col("own"))).otherwise(first_present(F.col("control"), F.col("own"), F.parse_json(F.lit('"unknown_record"'))))
+    asset = F.when(feed | topic, F.col("asset")).otherwise(F.col("own_asset"))
+    looked = looked.select(*first.columns, "is_object", named.alias("named"), asset.alias("asset"))
+    text = as_text(F.col("named"))
+    typed = looked.withColumn("text", text).withColumn("asset", as_text(F.col("asset")))
+    own_type = F.when(k == "rest_book_checkpoint", "book").otherwise(F.coalesce(F.nullif("text", F.lit("")), F.lit("unknown")))
+    typed = typed.withColumn("event_type", F.when(market, k).when(feed, own_type).otherwise(F.col("text")))
+    typed = typed.withColumn("route", F.when(market, "market").when(feed & (F.col("event_type") == "price_change"), "change").when(feed, "feed").when(topic, "topic").otherwise("other"))
+    typed = typed.withColumn("payload", F.when(F.col("is_object"), p).otherwise(F.col("record")))
+    change = F.col("route") == "change"
     # a change frame gives a row per object in it, and none if there isn't one; all else gives a row
-    rows = rows.withColumn("items", F.when(F.col("route") == "change", F.filter(changes, _object)).otherwise(F.array(F.parse_json(F.lit("null")))))
-    exploded = rows.select("*", F.posexplode("items").alias("pos", "item")).drop("items")
+    listed = typed.withColumn("list", F.when(change, _list(at(F.col("payload"), "$.price_changes"))))
+    items = F.when(change, F.filter(F.coalesce("list", F.array().cast("array<variant>")), _object)).otherwise(F.array(F.parse_json(F.lit("null"))))
+    listed = listed.withColumn("items", items)
+    named = listed.withColumn("named", F.when(change, F.transform("items", lambda x: at(x, "$.asset_id"))).otherwise(F.array(F.lit(None).cast("variant"))))
+    assets = F.when(change, F.transform("named", as_text)).otherwise(F.array("asset"))
+    return named.withColumn("assets", assets).select(*LINE_COLUMNS)
+
+
+def exploded(lines: DataFrame) -> DataFrame:
+    """One row per item of `routed_lines`, with its place, asset and place among the frame's changes of it."""
+    places = [c for c in lines.columns if c not in ("items", "assets")]
+    rows = lines.select(*places, "assets", F.posexplode("items").alias("pos", "item")).withColumn("asset_id", F.get("assets", F.col("pos")))
     change = F.col("route") == "change"
-    asset = F.when(change, as_text(at(F.col("item"), "$.asset_id"))).otherwise(as_text(at(F.col("payload"), "$.asset_id")))
-    exploded = exploded.withColumn("asset_id", asset)
-    frame = Window.partitionBy("source_file", "source_line", "asset_id")
-    return exploded.withColumns(
-        {
-            "change_index": F.when(change, F.row_number().over(frame.orderBy("pos")) - 1),
-            "change_count": F.when(change, F.count("*").over(frame).cast("int")),
-        }
-    )
+    same = lambda ids: F.size(F.filter(ids, lambda x: x == F.col("asset_id")))
+    index, count = same(F.slice("assets", 1, F.col("pos"))), same(F.col("assets"))
+    return rows.withColumns({"change_index": F.when(change, index), "change_count": F.when(change, count)}).drop("assets")
+
+
+def routed(records: DataFrame) -> DataFrame:
+    """One row per event: its record, the payload it is projected from, event_type, frame places."""
+    return exploded(routed_lines(records))
 
 
 def invalid_items(records: DataFrame) -> Column:
@@ -88,19 +104,20 @@ def _sound_level(x: Column) -> Column:
     return F.coalesce(_object(x) & price.isNotNull() & (size >= 0), F.lit(False))
 
 
-def with_sequence(rows: DataFrame, start: int = 0) -> DataFrame:
-    """Adds sequence: a gapless number in the order of files, lines and places. Lines are summed up by
-    file first, so the global step sees one row per file."""
-    per_file = rows.groupBy("source_file").agg(F.count("*").alias("n"))
-    files = per_file.select("source_file", F.coalesce(F.sum("n").over(Window.orderBy("source_file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long")).alias("files_before"))
-    per_line = rows.groupBy("source_file", "source_line").agg(F.count("*").alias("n")).withColumn("part", F.floor(F.col("source_line") / 100_000))
-    parts = per_line.groupBy("source_file", "part").agg(F.sum("n").alias("m"))
-    parts = parts.select("source_file", "part", F.coalesce(F.sum("m").over(Window.partitionBy("source_file").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long")).alias("parts_before"))
-    own = Window.partitionBy("source_file", "part").orderBy("source_line").rowsBetween(Window.unboundedPreceding, -1)
-    lines = per_line.withColumn("lines_before", F.coalesce(F.sum("n").over(own), F.lit(0).cast("long"))).join(parts, ["source_file", "part"]).join(files, "source_file")
-    lines = lines.select("source_file", "source_line", (F.col("files_before") + F.col("parts_before") + F.col("lines_before")).alias("before"))
-    place = F.row_number().over(Window.partitionBy("source_file", "source_line").orderBy("pos"))
-    return rows.join(lines, ["source_file", "source_line"]).withColumn("sequence", F.lit(start) + F.col("before") + place).drop("before")
+def with_sequence(lines: DataFrame, start: int = 0) -> DataFrame:
+    """Rows of `exploded` with sequence: a gapless number in the order of files, lines and places.
+
+    Items are summed up by block of a file first, so the global step sees one row per block (of 128 MB by
+    default). Lines are dealt out by block since they were read, and stay where they are.
+    """
+    sized = lines.withColumn("line_items", F.size("items"))
+    blocks = sized.groupBy("source_file", "source_block").agg(F.sum("line_items").alias("n"))
+    before = Window.orderBy("source_file", "source_block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = blocks.select("source_file", "source_block", (F.lit(start) + F.coalesce(F.sum("n").over(before), F.lit(0).cast("long"))).alias("block_start"))
+    own = Window.partitionBy("source_file", "source_block").orderBy("source_line").rowsBetween(Window.unboundedPreceding, -1)
+    placed = sized.withColumn("line_start", F.coalesce(F.sum("line_items").over(own), F.lit(0).cast("long"))).join(starts, ["source_file", "source_block"])
+    rows = exploded(placed.drop("line_items").withColumn("first", F.col("block_start") + F.col("line_start")).drop("block_start", "line_start"))
+    return rows.withColumn("sequence", F.col("first") + F.col("pos") + 1).drop("first")
 
 
 EVENT_COLUMNS = (
@@ -211,11 +228,11 @@ class Normalized:
     events: DataFrame
     levels: DataFrame
     markets: DataFrame
-    rows: DataFrame
+    shared: DataFrame
 
     def release(self) -> None:
         """Drops what the tables share; they are computed anew if they are read again."""
-        self.rows.unpersist()
+        self.shared.unpersist()
 
 
 def normalize(spark, paths: list[str], sequence_start: int = 0) -> Normalized:
@@ -225,6 +242,7 @@ def normalize(spark, paths: list[str], sequence_start: int = 0) -> Normalized:
 
 def normalize_lines(lines: DataFrame, sequence_start: int = 0) -> Normalized:
     records = parsed(lines)
-    # parsed and numbered once for the three tables; what an executor loses is computed anew
-    rows = with_sequence(routed(records), sequence_start).persist()
-    return Normalized(records, events(rows), levels(rows), markets(rows), rows)
+    # parsed once for the numbers and the three tables; what an executor loses is computed anew
+    shared = routed_lines(records).persist()
+    rows = with_sequence(shared, sequence_start)
+    return Normalized(records, events(rows), levels(rows), markets(rows), shared)

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from ..functions import coerce, market_math as m
 from ..operators import backtest, book, discovery, normalize, quality
-from ..sources import archives as archives_module
 from .adapter import archives, book_levels, market_events, markets, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -158,7 +157,7 @@ def raw_json_roundtrip(spark, sf_dir):
 
 @query(f"WITH {FEED_SQL} SELECT route, event_type, count(*) AS n, count(DISTINCT asset_id) AS assets FROM fe GROUP BY 1, 2")
 def route_events(spark, sf_dir):
-    rows = normalize.routed(archives_module.parsed(archives_module.read_lines(spark, [archives(spark, sf_dir)])))
+    rows = normalize.exploded(_recorded(spark, sf_dir).shared)
     return rows.groupBy("route", "event_type").agg(F.count("*").alias("n"), F.count_distinct("asset_id").alias("assets"))
 
 

@@ -53,7 +53,8 @@ def common_root(paths: list[str]) -> str:
 
 
 def read_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """source_file, source_bytes (the file's size), source_line (from 1, blank lines count) and value of every line.
+    """source_file, source_bytes (the file's size), source_block (where the split starts), source_line (from
+    1, blank lines count) and value of every line.
 
     Lines are numbered within a split, and the splits' counts are summed up over a file: a file that
     is cut into many splits is numbered by as many tasks.
@@ -70,7 +71,7 @@ def read_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     before = Window.partitionBy("source_file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("source_file", "block", F.coalesce(F.sum("n").over(before), F.lit(0).cast("long")).alias("start"))
     numbered = lines.withColumn("no", F.row_number().over(within)).join(starts, ["source_file", "block"])
-    return numbered.select("source_file", "source_bytes", (F.col("start") + F.col("no")).alias("source_line"), "value")
+    return numbered.select("source_file", "source_bytes", F.col("block").alias("source_block"), (F.col("start") + F.col("no")).alias("source_line"), "value")
 
 
 def parsed(lines: DataFrame, column: str = "value") -> DataFrame:
