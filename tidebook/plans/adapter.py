@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -10,16 +11,33 @@ from pyspark.sql import functions as F
 from ..session import scratch_dir
 
 #: Neighbouring events whose price changes make up one frame, and such blocks per archive.
-BLOCK, BLOCKS = 4, 2500
-_archives: dict[tuple[str, str], str] = {}
+BLOCK, BLOCKS = 4, 500
+_written: dict[tuple[str, str, str], str] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _kept(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], None]) -> str:
+    """Where a table made of the test tables lies; it is written once per session and folder of tables."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _written:
+        path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        write(path)
+        _written[key] = path
+    return _written[key]
+
+
 def market_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """`events` as market events. Neighbouring price changes of an asset form frames of two."""
+    """`events` as a recorded feed of market events, a table that stands for what an ingest has left."""
+    made = _market_events(spark, sf_dir)
+    path = _kept(spark, sf_dir, "events", lambda path: made.write.parquet(path))
+    return spark.read.schema(made.schema).parquet(path)
+
+
+def _market_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Neighbouring price changes of an asset form frames of two."""
     e = table(spark, sf_dir, "events")
     k = F.get_json_object("props", "$.k").cast("int")
     v = F.floor("value").cast("long")
@@ -127,10 +145,5 @@ def feed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def archives(spark: SparkSession, sf_dir: str) -> str:
     """A folder with the feed's lines as text files, one per part, written once per session and table."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _archives:
-        path = f"{scratch_dir(spark)}/feed-{uuid.uuid4().hex}"
-        lines = feed_lines(spark, sf_dir).repartition("part").sortWithinPartitions("part", "block", "ord", "sub")
-        lines.select("part", "value").write.partitionBy("part").text(path)
-        _archives[key] = path
-    return _archives[key]
+    lines = feed_lines(spark, sf_dir).repartition("part").sortWithinPartitions("part", "block", "ord", "sub")
+    return _kept(spark, sf_dir, "feed", lambda path: lines.select("part", "value").write.partitionBy("part").text(path))

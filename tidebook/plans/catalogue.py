@@ -98,7 +98,7 @@ FEED_SQL = EVENTS_SQL + """,
     FROM tenth, (VALUES (0, 'other', 'connected'), (1, 'topic', 'prices'), (2, 'market', 'rewarded_market_discovery')) x(o, r, t)),
   fe AS (
     SELECT *, row_number() OVER (ORDER BY block, ord, sub) AS seq, received / 1e6 - ts AS capture_latency_ms,
-           dense_rank() OVER (PARTITION BY block // 2500 ORDER BY block, ord, CASE WHEN ord = 3 THEN sub ELSE 0 END) AS line
+           dense_rank() OVER (PARTITION BY block // 500 ORDER BY block, ord, CASE WHEN ord = 3 THEN sub ELSE 0 END) AS line
     FROM rec)"""
 
 
@@ -182,8 +182,8 @@ def market_rows(spark, sf_dir):
     return _recorded(spark, sf_dir).markets.select("discovery_sequence", "token_id", "outcome", "token_price", "daily_reward", "condition_id", "token_index", "is_selected")
 
 
-@query(f"""WITH {FEED_SQL} SELECT count(DISTINCT (block // 2500, line)) AS raw_rows, 0::BIGINT AS invalid_json_rows, 0::BIGINT AS invalid_record_rows, count(*) AS event_rows, (SELECT count(*) FROM lv) AS level_rows, count(*) FILTER (route = 'market') * 2 AS market_rows,
-  count(DISTINCT block // 2500) AS input_files, 0::BIGINT AS duplicates FROM fe""")
+@query(f"""WITH {FEED_SQL} SELECT count(DISTINCT (block // 500, line)) AS raw_rows, 0::BIGINT AS invalid_json_rows, 0::BIGINT AS invalid_record_rows, count(*) AS event_rows, (SELECT count(*) FROM lv) AS level_rows, count(*) FILTER (route = 'market') * 2 AS market_rows,
+  count(DISTINCT block // 500) AS input_files, 0::BIGINT AS duplicates FROM fe""")
 def ingest_report(spark, sf_dir):
     t = _recorded(spark, sf_dir)
     return quality.report(t.events, t.records, t.levels, t.markets).select("raw_rows", "invalid_json_rows", "invalid_record_rows", "event_rows", "level_rows", "market_rows", "input_files", "duplicates")
