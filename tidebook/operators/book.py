@@ -91,7 +91,7 @@ class Side:
 
 _LEVELS = "array<struct<price: double, size: double>>"
 _STATE = f"asset_id string, epoch long, sequence long, event_type string, point boolean, reason string, pruned int, book_bid double, book_ask double, bids {_LEVELS}, asks {_LEVELS}"
-_EVENT = ["asset_id", "epoch", "sequence", "rank", "event_type", "exchange_timestamp_ms", "side", "price", "size", "best_bid", "best_ask", "tol", "valid", "final"]
+_EVENT = ["asset_id", "epoch", "sequence", "loaded", "event_type", "exchange_timestamp_ms", "side", "price", "size", "best_bid", "best_ask", "tol", "valid", "final"]
 
 
 def states(annotated: DataFrame, levels: DataFrame, top: int = 20, interval_ms: int = 0, keep: tuple[str, ...] = (), every: bool = False, due_only: bool = False) -> DataFrame:
@@ -109,13 +109,10 @@ def states(annotated: DataFrame, levels: DataFrame, top: int = 20, interval_ms:
         raise ValueError("interval and depth must not be negative")
     rows = annotated if every else annotated.filter("epoch > 0")
     taken = [f"kept_{c}" for c in keep]
-    columns = [*_EVENT, *taken]
-    # a book's levels come before what its best prices do to them: its row is the last of its sequence
-    own = rows.withColumn("rank", F.lit((1 << 31) - 1)).withColumns({f"kept_{c}": F.col(c) for c in keep}).select(*columns)
-    books = annotated.filter("event_type = 'book'").select("sequence", "asset_id", "epoch")
-    loads = levels.select("sequence", "side", "price", "size", F.col("source_rank").cast("int").alias("rank")).join(books, "sequence").withColumn("event_type", F.lit("level"))
-    loads = loads.withColumns({c: F.lit(None).cast(own.schema[c].dataType) for c in columns if c not in loads.columns}).select(*columns)
-    dealt = own.unionByName(loads).repartition("asset_id", "epoch").sortWithinPartitions("asset_id", "epoch", "sequence", "rank")
+    order = F.sort_array(F.collect_list(F.struct("source_rank", "side", "price", "size")))
+    loaded = levels.groupBy("sequence").agg(F.transform(order, lambda x: F.struct(x["side"].alias("side"), x["price"].alias("price"), x["size"].alias("size"))).alias("loaded"))
+    own = rows.withColumns({f"kept_{c}": F.col(c) for c in keep}).join(loaded, "sequence", "left").select(*_EVENT, *taken)
+    dealt = own.repartition("asset_id", "epoch").sortWithinPartitions("asset_id", "epoch", "sequence")
     schema = T.StructType([*T.StructType.fromDDL(_STATE).fields, *(T.StructField(c, rows.schema[c].dataType) for c in keep)])
     arrow = to_arrow_schema(schema)
 
@@ -124,12 +121,12 @@ def states(annotated: DataFrame, levels: DataFrame, top: int = 20, interval_ms:
         for batch in batches:
             for at in range(0, batch.num_rows, 10_000):
                 out: list[tuple] = []
-                for asset, epoch, seq, _, kind, now, side, price, size, best_bid, best_ask, tol, valid, final, *more in zip(*(c.to_pylist() for c in batch.slice(at, 10_000).columns), strict=True):
+                for asset, epoch, seq, loaded, kind, now, side, price, size, best_bid, best_ask, tol, valid, final, *more in zip(*(c.to_pylist() for c in batch.slice(at, 10_000).columns), strict=True):
                     if (asset, epoch) != key:
                         key, sides, last = (asset, epoch), {"BUY": Side(1), "SELL": Side(-1)}, None
-                    if kind == "level":
-                        sides["BUY" if side == "BUY" else "SELL"].set(price, size)
-                        continue
+                    if kind == "book" and loaded:
+                        for x in loaded:
+                            sides["BUY" if x["side"] == "BUY" else "SELL"].set(x["price"], x["size"])
                     if kind == "price_change" and valid and epoch:
                         sides[side].set(price, size)
                     shows, pruned, reason = valid and final and epoch > 0, 0, None
