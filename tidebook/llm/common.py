@@ -5,14 +5,20 @@ from __future__ import annotations
 import ctypes
 import tempfile
 import uuid
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Hashable, Iterable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
+from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
+
+#: Bytes that a Python worker gets or gives in one Arrow batch, about, and the setting for it.
+BATCH_BYTES, BATCH_SETTING = 4 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
 
 _OWN: dict[str, str] = {}
+_held: dict[Hashable, Any] = {}
 _tables: ContextVar[list[tuple[SparkSession, str]] | None] = ContextVar("tables", default=None)
 
 
@@ -63,11 +69,28 @@ def scratch() -> Iterator[None]:
             where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def lean(run: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def held(key: Hashable, make: Callable[[], Any]) -> Any:
+    """What `make` returns, made once per worker process: kept for the tasks to come until another is made,
+    or until a task begins that has no use for any (see `lean`)."""
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]
+
+
+def let_go() -> None:
+    """Drops what `held` keeps."""
+    _held.clear()
+
+
+def lean(run: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]], holds: bool = False) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """`run` for mapInArrow, which gives freed memory back to the system when a task ends: Python workers
-    live on from stage to stage, and what one has reserved counts against the executor in all later ones."""
+    live on from stage to stage, and what one has reserved counts against the executor in all later ones.
+    Unless `run` uses `held` itself, what earlier tasks of the worker held is dropped first."""
 
     def leanly(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not holds:
+            let_go()
         yield from run(batches)
         pa.default_memory_pool().release_unused()
         if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc
@@ -76,6 +99,16 @@ def lean(run: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]) ->
     return leanly
 
 
+def mapped(df: DataFrame, run: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType, holds: bool = False) -> DataFrame:
+    """mapInArrow of `lean` in batches of about `BATCH_BYTES`, or one row if that is longer: 10,000 rows of
+    text, Spark's own limit, are buffers of 20 to 60 MB on both sides. A session that has the setting
+    keeps it; else it is set, as it is read when the plan runs."""
+    conf = df.sparkSession.conf
+    if conf.get(BATCH_SETTING, None) is None:
+        conf.set(BATCH_SETTING, str(BATCH_BYTES))
+    return df.mapInArrow(lean(run, holds), schema)
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """The names, with underscores added until no column of `df` has them."""
     taken, out = {c.lower() for c in df.columns}, []

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import lean
+from .common import held, mapped
 
 #: Bytes of labelled text per language that its automaton is built of: a bounded sample, the documents
 #: with the smallest hashes of their ids.
@@ -140,7 +140,6 @@ def _folded(text: bytes) -> bytes:
 
 
 _TO_SPACE = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
-_built: dict[int, CrossParser] = {}
 
 
 def learn(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_bytes: int = SAMPLE_BYTES, sample_docs: int = SAMPLE_DOCS) -> dict[str, bytes]:
@@ -175,11 +174,7 @@ def learn(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
 
 def _parser(samples: dict[str, bytes]) -> CrossParser:
     """One per sample and worker process."""
-    mark = hash(tuple(sorted(samples.items())))
-    if mark not in _built:
-        _built.clear()
-        _built[mark] = CrossParser(samples)
-    return _built[mark]
+    return held(("parser", *sorted(samples.items())), lambda: CrossParser(samples))
 
 
 def _decided(parser: CrossParser, column: pa.Array) -> tuple[list[str], list[float]]:
@@ -213,7 +208,8 @@ def predict(df: DataFrame, samples: dict[str, bytes], id_col: str = "doc_id", te
             langs, scores = _decided(parser, batch.column("text"))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "held_out", "lang_pred", "score"])
 
-    return df.select(F.col(id_col).alias("doc_id"), held_out(id_col).alias("held_out"), F.col(text_col).alias("text")).mapInArrow(lean(run), f"doc_id {kind}, held_out boolean, lang_pred string, score double")
+    rows = df.select(F.col(id_col).alias("doc_id"), held_out(id_col).alias("held_out"), F.col(text_col).alias("text"))
+    return mapped(rows, run, f"doc_id {kind}, held_out boolean, lang_pred string, score double", holds=True)
 
 
 def keep_known(df: DataFrame, samples: dict[str, bytes], text_col: str = "text") -> DataFrame:
@@ -227,7 +223,7 @@ def keep_known(df: DataFrame, samples: dict[str, bytes], text_col: str = "text")
         for batch in batches:
             yield batch.filter(pa.array([x != "und" for x in _decided(parser, batch.column(at))[0]], pa.bool_()))
 
-    return df.mapInArrow(lean(run), df.schema)
+    return mapped(df, run, df.schema, holds=True)
 
 
 def identify(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from .bpe import BYTE_LEVEL_WORDS, SPACE, byte_symbols, texts_in_groups
-from .common import lean, written
+from .common import held, mapped, written
 
 WINDOW = 1024
 #: Lengths that combinations of three are built from: the most frequent ones.
@@ -85,13 +85,9 @@ class Encoder:
         return self.library.encode(text, add_special_tokens=False).ids
 
 
-_loaded: dict[str, Encoder] = {}
-
-
 def loaded(path: str) -> Encoder:
-    if path not in _loaded:
-        _loaded[path] = Encoder(path)
-    return _loaded[path]
+    """One per file and worker process."""
+    return held(("encoder", path), lambda: Encoder(path))
 
 
 def combinations_of(histogram: dict[int, int], window: int = WINDOW) -> list[tuple[int, ...]]:
@@ -209,7 +205,8 @@ def _tokenised(df: DataFrame, path: str, window: int, id_col: str, text_col: str
                 tails.append((tail.astype("<u2") if tail.max(initial=0) < 1 << 16 else tail).tobytes())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(crcs, pa.list_(pa.int64())), pa.array(tails, pa.binary()), pa.array([part] * len(n), pa.int32()), pa.array(before, pa.int64()), pa.array(rank, pa.int64())], ["doc_id", "doc_tokens", "crcs", "tail", "part", "before", "rank"])
 
-    return df.selectExpr(f"`{id_col}` AS doc_id", f"`{text_col}` AS text").mapInArrow(lean(run), f"doc_id {kind}, doc_tokens long, crcs array<long>, tail binary, part int, before long, rank long")
+    texts = df.selectExpr(f"`{id_col}` AS doc_id", f"`{text_col}` AS text")
+    return mapped(texts, run, f"doc_id {kind}, doc_tokens long, crcs array<long>, tail binary, part int, before long, rank long", holds=True)
 
 
 def pack(df: DataFrame, path: str, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -253,4 +250,4 @@ def pack(df: DataFrame, path: str, window: int = WINDOW, id_col: str = "doc_id",
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(at, pa.int64())), *(pa.array(c, pa.int64()) for c in columns)], ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
 
     tails = docs.filter("tail_length > 0").join(offsets, ["part", "tail_length"]).select("doc_id", "doc_tokens", "tail", "tail_length", (F.col("rank") + F.col("ranked")).alias("rank"))
-    return full.unionByName(tails.mapInArrow(place, schema))
+    return full.unionByName(mapped(tails, place, schema))

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import fresh, lean, scratch, written
+from .common import fresh, mapped, scratch, written
 
 #: Bytes of a repeat that is removed.
 WINDOW = 200
@@ -105,7 +105,7 @@ def _phrases(texts: DataFrame, window: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([batch.column("id").take(at), batch.column("h").take(at), *(pa.array(np.concatenate(c)) for c in cols)], ["id", "h", "place", "trig", "phrase"])
                     rows, cols, size = [], [[], [], []], 0
 
-    return texts.mapInArrow(lean(run), f"id {kind}, h long, place long, trig long, phrase long")
+    return mapped(texts, run, f"id {kind}, h long, place long, trig long, phrase long")
 
 
 def _fetched(texts: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
@@ -126,7 +126,7 @@ def _fetched(texts: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
                 own = pa.array(np.full(len(place), i))
                 yield pa.RecordBatch.from_arrays([batch.column("id").take(own), batch.column("h").take(own), *(found.field(n) for n in names), pa.array([raw[s : s + n + window - 1] for s, n in zip(start, count, strict=True)], pa.binary())], ["id", "h", *names, "bytes"])
 
-    return joined.mapInArrow(lean(run), f"id {kind}, h long, place long, trig long, phrase long, copies long, bytes binary")
+    return mapped(joined, run, f"id {kind}, h long, place long, trig long, phrase long, copies long, bytes binary")
 
 
 def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -188,7 +188,7 @@ def _sorted_windows(phrases: DataFrame, window: int) -> DataFrame:
         if size:
             yield from found(pa.Table.from_batches(kept).combine_chunks())
 
-    return phrases.mapInArrow(lean(run), f"id {kind}, h long, start long, stop long")
+    return mapped(phrases, run, f"id {kind}, h long, start long, stop long")
 
 
 def _halves(segments: DataFrame, window: int) -> DataFrame:
@@ -221,7 +221,7 @@ def _halves(segments: DataFrame, window: int) -> DataFrame:
                 columns = [pa.array(col, pa.int64()) for col in (zip(*rows, strict=True) if rows else [()] * 5)]
                 yield pa.RecordBatch.from_arrays([*(part.column(x).take(take) for x in ("id", "h")), *columns, part.column("alone").take(take), pa.array(texts, pa.binary()), pa.array(c[:, 0]), pa.array(c[:, 1]), pa.array(np.array(whole, np.uint64).view(np.int64))], ["id", "h", *names, "alone", "bytes", "c1", "c2", "u"])
 
-    return segments.select("id", "h", *names, "alone", "bytes").mapInArrow(lean(run), f"id {kind}, h long, at long, n long, off long, low long, high long, alone boolean, bytes binary, c1 long, c2 long, u long")
+    return mapped(segments.select("id", "h", *names, "alone", "bytes"), run, f"id {kind}, h long, at long, n long, off long, low long, high long, alone boolean, bytes binary, c1 long, c2 long, u long")
 
 
 def _heavy_spans(phrases: DataFrame, window: int) -> list[DataFrame]:
@@ -349,7 +349,7 @@ def cut_report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
                 sha.append(hashlib.sha256(kept).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column("id"), *(pa.array(x, pa.int64()) for x in (size, gone, n)), pa.array(sha, pa.string())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    return joined.select("id", "text", "spans").mapInArrow(lean(run), f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return mapped(joined.select("id", "text", "spans"), run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
@@ -372,4 +372,4 @@ def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 kept.append(raw if spans.as_py() is None else _cut((raw or "").encode("utf-8", "surrogatepass"), spans)[0].decode("utf-8", "ignore"))
             yield pa.RecordBatch.from_arrays([pa.array(kept, texts.type) if i == at else batch.column(i) for i in range(len(names))], names)
 
-    return joined.mapInArrow(lean(run), df.schema)
+    return mapped(joined, run, df.schema)
