@@ -17,6 +17,9 @@ from pyspark.sql.types import StructType
 #: Bytes that a Python worker gets or gives in one Arrow batch, about, and the setting for it.
 BATCH_BYTES, BATCH_SETTING = 4 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
 
+#: Shuffle partitions for each file of `in_few_files`, where that makes more files than there are cores.
+PER_FILE = 32
+
 _OWN: dict[str, str] = {}
 _held: dict[Hashable, Any] = {}
 _tables: ContextVar[list[tuple[SparkSession, str]] | None] = ContextVar("tables", default=None)
@@ -54,6 +57,17 @@ def written(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def in_few_files(df: DataFrame) -> DataFrame:
+    """`df` for `written` in about as many files as there are cores, for tables far smaller than the input
+    (links, components): its rows are computed in as many tasks as ever and then dealt out evenly.
+
+    Without Hadoop's native library every file written to a local disk starts three or so processes
+    (chmod), each of which has the executor's own memory until it runs its program.
+    """
+    spark = df.sparkSession
+    return df.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")) // PER_FILE))
+
+
 @contextmanager
 def scratch() -> Iterator[None]:
     """Deletes the tables written within it, but for those to keep, once nothing needs them any more:

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import in_few_files, written
 
 BITS = 64
 SEED = 42
@@ -208,7 +208,7 @@ def components(edges: DataFrame) -> DataFrame:
     aggregated before the shuffle, and the joins have plain exchanges on both sides, so that a value
     with very many links can be split.
     """
-    now = written(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(), "links")
+    now = written(in_few_files(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct()), "links")
     seen = None
     while True:
         state = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v") % (1 << 40)).alias("s")).head()
@@ -216,11 +216,11 @@ def components(edges: DataFrame) -> DataFrame:
             return now.select(F.col("u").alias("fp"), F.col("v").alias("root"))
         seen = state
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "large")
-        large = written(both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "star")
-        least = written(large.groupBy("u").agg(F.min("v").alias("m")), "small")
+        least = written(in_few_files(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))), "large")
+        large = written(in_few_files(both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()), "star")
+        least = written(in_few_files(large.groupBy("u").agg(F.min("v").alias("m"))), "small")
         rest = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        now = written(rest.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "links")
+        now = written(in_few_files(rest.unionByName(least.select("u", F.col("m").alias("v"))).distinct()), "links")
 
 
 def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 3, crowded: int = CROWDED) -> DataFrame:

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import fresh, mapped, scratch, written
+from .common import fresh, in_few_files, mapped, scratch, written
 
 #: Bytes of a repeat that is removed.
 WINDOW = 200
@@ -238,10 +238,10 @@ def _heavy_spans(phrases: DataFrame, window: int) -> list[DataFrame]:
     spans = []
     while True:
         halves = written(_halves(segments, window), "halves")
-        kinds = written(halves.groupBy("c1", "c2", "u").agg(F.count("*").alias("times"), F.min_by(one, F.struct("at", "h")).alias("one")), "kinds")
+        kinds = written(in_few_files(halves.groupBy("c1", "c2", "u").agg(F.count("*").alias("times"), F.min_by(one, F.struct("at", "h")).alias("one"))), "kinds")
         often = kinds.filter("times > 1").select("c1", "c2", "u")
         spans.append(halves.filter("alone").join(often, ["c1", "c2", "u"], "left_semi").select("id", "h", F.col("at").alias("start"), (F.col("at") + F.col("n") - 1 + window).alias("stop")))
-        mixed = written(kinds.groupBy("c1", "c2").agg(F.count("*").alias("n")).filter("n > 1").select("c1", "c2"), "mixed")
+        mixed = written(in_few_files(kinds.groupBy("c1", "c2").agg(F.count("*").alias("n")).filter("n > 1").select("c1", "c2")), "mixed")
         if mixed.isEmpty():
             return spans
         # of equal halves one is enough from here on; if there were several, they are all found
