@@ -61,8 +61,8 @@ def in_few_files(df: DataFrame) -> DataFrame:
     """`df` for `written` in about as many files as there are cores, for tables far smaller than the input
     (links, components): its rows are computed in as many tasks as ever and then dealt out evenly.
 
-    Without Hadoop's native library every file written to a local disk starts three or so processes
-    (chmod), each of which has the executor's own memory until it runs its program.
+    Without Hadoop's native library every file written to a local disk starts processes (chmod),
+    each of which has the executor's own memory until it runs its program.
     """
     spark = df.sparkSession
     return df.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")) // PER_FILE))
